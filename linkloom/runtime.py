@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -34,5 +35,10 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def if_small(df: DataFrame, rows: int = 50_000) -> DataFrame:
+    """Marks df for broadcast if it is counted to be small; else the join shuffles. df should be cheap to count, as after cut()."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
