@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import encode, heavyhitters, loglog, topn
+from . import encode, heavyhitters, leaks, loglog, subjects, topn
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -35,7 +34,24 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.encode(table(spark, d, "documents"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_counts": p2_counts, "p5_found": p5_found, "p5_estimates": p5_estimates, "p7_found": p7_found, "p8_ids": p8_ids}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.leaked(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return subjects.assign(table(spark, d, "documents"), table(spark, d, "subjects"), table(spark, d, "subject_samples"))
+
+
+QUERIES = {
+    "p2_found": p2_found,
+    "p2_counts": p2_counts,
+    "p5_found": p5_found,
+    "p5_estimates": p5_estimates,
+    "p7_found": p7_found,
+    "p8_ids": p8_ids,
+    "p9_found": p9_found,
+    "p10_found": p10_found,
+}
 
 _FREQUENT = " UNION ALL ".join(
     f"SELECT '{c}' AS field_name, {c} AS item{{}} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) >= 0.005 * (SELECT count({c}) FROM {t})" for c, t in (("dst_uri", "links"), ("uri", "fetches"))
