@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..runtime import table
-from . import encode, heavyhitters, leaks, loglog, subjects, topn
+from . import encode, garbled, heavyhitters, leaks, loglog, subjects, topn
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -18,6 +18,15 @@ def p2_counts(spark: SparkSession, d: str) -> DataFrame:
     return found.select("field_name", "item", "n_rows")
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    rows = garbled.text_rows(table(spark, d, "links"), table(spark, d, "wat_records"))
+    return garbled.garbled_rows(rows).select("field_name", "row_id", "list_pos").distinct()
+
+
+def p3_repairs(spark: SparkSession, d: str) -> DataFrame:
+    return garbled.garbled_rows(garbled.text_rows(table(spark, d, "links"), table(spark, d, "wat_records")))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return loglog.repetitive_groups(table(spark, d, "fetches"))
 
@@ -45,6 +54,8 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p2_found": p2_found,
     "p2_counts": p2_counts,
+    "p3_found": p3_found,
+    "p3_repairs": p3_repairs,
     "p5_found": p5_found,
     "p5_estimates": p5_estimates,
     "p7_found": p7_found,
