@@ -1,6 +1,6 @@
 """All core queries by name, with the SQL of those that SQL can express."""
 
-from . import problems
+from . import graph, problems
 
-QUERIES = {**problems.QUERIES}
-ORACLES = {**problems.ORACLES}
+QUERIES = {**graph.QUERIES, **problems.QUERIES}
+ORACLES = {**graph.ORACLES, **problems.ORACLES}
