@@ -87,7 +87,7 @@ class Index:
         distinct = {tuple(w) for w in self.words}  # shared passages count once
         df, n = Counter(t for w in distinct for t in set(w)), len(distinct)
         self.idf = {t: math.log(1 + (n - c + 0.5) / (c + 0.5)) for t, c in df.items()}
-        self.rare_at = max(3, n // 100)
+        self.rare_at = max(1, n // 100)
         self.rare = {t for t, c in df.items() if c <= self.rare_at}
         mean = sum(map(len, self.words)) / max(1, len(self.words))
         lists: dict[str, list[tuple[int, float]]] = defaultdict(list)

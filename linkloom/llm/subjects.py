@@ -46,7 +46,7 @@ from ..runtime import cut
 
 MIN_DF, MAX_SAMPLES, ROUNDS = 5, 20_000, 3
 PURITY, USUAL, PASSING, SEED_P = 0.3, 0.5, 0.5, 2e-2
-LEAST, LIFT, Z, SEED_N, STARTS = 3, 2.5, 4, 2, 3
+LEAST, LIFT, Z, SEED_N, STARTS = 3, 3.0, 4, 2, 3
 ABSTAIN = -1
 # Frequent words that tell four languages apart.
 MARKS = {
@@ -107,8 +107,8 @@ class Lexicon:
         seen[:, 0] = 0
         total = seen.sum(1, keepdims=True)
         exp = (lang @ rate) / np.maximum(lang.sum(1, keepdims=True), 1e-9) * total
-        lift = (seen + 0.1) / (exp + 0.1)
-        gain = np.where(lift > 1, seen * np.log(lift), 0)
+        gain = np.where(seen > exp, seen * np.log((seen + 0.1) / (exp + 0.1)), 0)
+        lift = (seen + 0.1) / (total - seen + 0.1) / ((exp + 0.1) / (total - exp + 0.1))  # of odds
         best = gain.argmax(1)
         at = np.arange(len(m)), best
         pure, share = seen[at] / (total[:, 0] + 0.5), seen[at] / (mass.sum(1) + 0.5)
