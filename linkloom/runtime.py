@@ -40,5 +40,11 @@ def if_small(df: DataFrame, rows: int = 50_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def spread(df: DataFrame, key: str, per_core: int = 3) -> DataFrame:
+    """df in enough parts to keep all cores busy with per-row Python work; large inputs have them already and are not moved."""
+    least = per_core * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(least, key) if df.rdd.getNumPartitions() < least else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
