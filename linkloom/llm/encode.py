@@ -24,6 +24,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from ..runtime import spread
+
 RANKS = os.environ.get("LINKLOOM_RANKS", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 # Fixed value: the vocabulary's pattern of pieces.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -68,7 +70,7 @@ def decode_ids(ids, path: str = RANKS) -> str:
 
 
 def encode(df: DataFrame, key: str = "doc_id", text: str = "text", path: str = RANKS) -> DataFrame:
-    """(key, ids): narrow, one Arrow pass, no shuffle."""
+    """(key, ids): one narrow Arrow pass; only inputs of too few parts are spread first."""
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,4 +78,4 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", path: str = R
             ids = [encode_text(t, path) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], [key, "ids"])
 
-    return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, ids array<int>")
+    return spread(df.select(key, text), key).mapInArrow(run, f"`{key}` {kind}, ids array<int>")

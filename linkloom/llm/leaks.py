@@ -36,6 +36,8 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..runtime import spread
+
 WINDOW, STRIDE, BLOCK, POSTING_BLOCK = 48, 24, 20_000, 32
 THRESHOLD, COVER, RARE_COVER = 0.3, 0.6, 0.6
 K1, B = 1.2, 0.75
@@ -228,6 +230,7 @@ def leaked(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: st
     kind = documents.schema[key].dataType.simpleString()
     rows = [(r.item_id, r.passage) for r in items.select("item_id", "passage").orderBy("item_id").toLocalIterator()]
     sc = documents.sparkSession.sparkContext
+    docs = spread(documents.select(key, text).where(f"{text} is not null"), key)
     out = None
     for lo in range(0, max(1, len(rows)), BLOCK):
         held = sc.broadcast(rows[lo : lo + BLOCK])
@@ -239,6 +242,6 @@ def leaked(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: st
                 if pairs:
                     yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], b.schema.field(0).type), pa.array([p[1] for p in pairs], pa.int64())], [key, "item_id"])
 
-        one = documents.select(key, text).where(f"{text} is not null").mapInArrow(run, f"`{key}` {kind}, item_id bigint")
+        one = docs.mapInArrow(run, f"`{key}` {kind}, item_id bigint")
         out = one if out is None else out.unionByName(one)
     return out.distinct()

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import cut
+from ..runtime import cut, spread
 
 MIN_DF, MAX_SAMPLES, ROUNDS = 5, 20_000, 3
 PURITY, USUAL, PASSING, SEED_P = 0.3, 0.5, 0.5, 2e-2
@@ -350,7 +350,7 @@ def assign(documents: DataFrame, subjects: DataFrame, samples: DataFrame, key: s
     names = [r.subject_name for r in subjects.select("subject_name").distinct().orderBy("subject_name").collect()]
     classes = len(names) + 1
     kind = documents.schema[key].dataType.simpleString()
-    docs = documents.where(F.length(F.trim(F.col(text))) > 0).select(F.col(key), F.col(text), F.lower(F.trim(F.col(source))).alias("source"))
+    docs = spread(documents.where(F.length(F.trim(F.col(text))) > 0).select(F.col(key), F.col(text), F.lower(F.trim(F.col(source))).alias("source")), key)
     first = seed_terms(load_samples(samples, {n: i + 1 for i, n in enumerate(names)}), classes)
     seed, grown, sources = grow(first, lambda lex: corpus_counts(docs.select(text, "source"), lex, classes), classes)
     by_source = {s: (int(v[1:].argmax()) + 1 if v[1:].sum() and v[1:].max() >= 0.5 * v[1:].sum() else ABSTAIN) for s, v in sources.items()}
