@@ -89,9 +89,9 @@ def daily(fetches: DataFrame) -> DataFrame:
 
 
 def daily_distinct(fetches: DataFrame, p: int = P) -> DataFrame:
-    """(crawl_day, segment_no, server, n_rows, n_distinct, std_error) of all four groupings."""
+    """(crawl_day, segment_no, server, n_rows, n_distinct, std_error) of all four groupings; the rows are read once."""
     by = ["crawl_day", "segment_no", "server"]
-    return estimate(cube(registers(daily(fetches), by, "uri", p)), by, p)
+    return estimate(cube(cut(registers(daily(fetches), by, "uri", p))), by, p)
 
 
 def repetitive_groups(fetches: DataFrame, at_least: int = 100, ratio: float = 0.5, band: float = 5.0, p: int = P) -> DataFrame:
