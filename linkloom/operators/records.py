@@ -12,15 +12,28 @@ from . import variants
 CONTENT_TYPE, ANCHOR_PATH = "application/json", "A@/href"
 
 
-def raw_pages(records: DataFrame) -> DataFrame:
+def _ends_the_list(x: Column) -> Column:
+    """A link that is no object, or an anchor with an address whose url, text or title is no string."""
+    kind = lambda k: F.schema_of_variant(variants.get(x, k))
+    odd = lambda k: F.coalesce(kind(k) != "STRING", F.lit(False))
+    read = (variants.text_at(x, "path") == ANCHOR_PATH) & variants.get(x, "url").isNotNull()
+    text = F.when(variants.get(x, "text").isNotNull(), odd("text")).otherwise(odd("title"))
+    return F.coalesce(~F.schema_of_variant(x).startswith("OBJECT"), F.lit(True)) | F.coalesce(read & (odd("url") | text), F.lit(False))
+
+
+def raw_pages(records: DataFrame, exact: bool = False) -> DataFrame:
     """(record_no, url, crawl_date, server, title, raw_links): valid JSON records of the right type.
 
     raw_links: (pos, url, anchor_text) of anchors with an address; text, else title, else ''.
     A body that is no valid JSON gives no page; a missing response part a page without links.
+    Ill-typed links are skipped; with exact, the first of them ends the page's list.
     """
     ok = F.lower("content_type") == CONTENT_TYPE
     d = F.col("doc")
     links = variants.get(d, *variants.LISTS["Links"], kind="array<variant>")
+    if exact:
+        first = F.array_position(F.transform(links, _ends_the_list), True)
+        links = F.when(first > 0, F.slice(links, 1, F.greatest(first - 1, F.lit(0)).cast("int"))).otherwise(links)
     pick = lambda x, i: F.struct(i.alias("pos"), variants.text_at(x, "url").alias("url"), F.coalesce(variants.text_at(x, "text"), variants.text_at(x, "title"), F.lit("")).alias("anchor_text"), variants.text_at(x, "path").alias("path"))
     found = F.filter(F.transform(F.coalesce(links, F.array().cast("array<variant>")), pick), lambda z: (z["path"] == ANCHOR_PATH) & z["url"].isNotNull())
     found = F.when(F.col("content_type") == CONTENT_TYPE, found)
@@ -33,9 +46,9 @@ def raw_pages(records: DataFrame) -> DataFrame:
     )
 
 
-def pages(records: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
+def pages(records: DataFrame, suffixes: DataFrame | None = None, exact: bool = False) -> DataFrame:
     """Pages in the page schema. Links to the page's own domain and invalid links are dropped, relative ones not resolved."""
-    raw = raw_pages(records).withColumn("u", split_url(F.col("url"))).where("u is not null")
+    raw = raw_pages(records, exact).withColumn("u", split_url(F.col("url"))).where("u is not null")
     exploded = raw.select("record_no", F.explode_outer("raw_links").alias("l")).select("record_no", "l.pos", "l.anchor_text", split_url(F.col("l.url")).alias("v")).where("v is not null")
     hosts = raw.select("u.host").unionByName(exploded.select("v.host")).distinct()
     domains = host_domains(hosts, suffixes)
@@ -48,7 +61,3 @@ def pages(records: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
     out = heads.join(lists, "record_no", "left").withColumn("outbound_links", F.coalesce("outbound_links", empty))
     return out.select("url", "uri", F.size("outbound_links").cast("bigint").alias("num_outbound"), "crawl_date", "server", "title", "outbound_links", "record_no")
 
-
-def first_ill_typed(kinds: Column) -> Column:
-    """Position of the first list element that is no object (exact mode stops there)."""
-    return F.array_position(F.transform(kinds, lambda k: k.startswith("OBJECT")), False)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import urls
-from ..operators import index, records
+from ..operators import index, metrics, records
 from ..runtime import shared_dir, table
 from ..streaming import incremental
 from .query import LinkIndex, page_of
@@ -212,6 +212,14 @@ def streamed_uri_info(spark, d):
     return store.tables()["uri_info"]
 
 
+def update_meters(spark, d):
+    return metrics.update_meters(incremental.build(_captures(spark, d)), table(spark, d, "page_updates"), ["ts", "update_id"])
+
+
+def record_pages_exact(spark, d):
+    return records.raw_pages(table(spark, d, "wat_records"), exact=True).select("record_no", F.size("raw_links").alias("n_links"))
+
+
 def metric_buckets(spark, d):
     out = index.time_buckets(table(spark, d, "events"), "ts", "value", ["event_type"])
     return out.select("bucket", "event_type", F.round("total", 2).alias("total"), "n")
@@ -268,7 +276,7 @@ def parsed_edges(spark, d):
 QUERIES = {f.__name__: f for f in (
     pages, pages_with_linkless, edges, edges_cross_domain, uri_info, domain_count, top_pages, domain_rank_top25, domain_pages, domain_stats, paging_offset, paging_keyset, inlinks_of, outlinks_of, page_lookup, page_degrees,
     index_statistics, page_json, index_cells, cell_changes, split_points, rev_encode, rev_encode_order, link_added, link_deleted, uri_delta, domain_delta, incremental_pages, incremental_uri_info, incremental_domain_count, streamed_uri_info,
-    metric_buckets, url_to_uri, url_parse, url_roundtrip, url_of_key, url_reverse_host, url_domain, url_is_image, record_pages, parsed_pages, parsed_edges,
+    update_meters, record_pages_exact, metric_buckets, url_to_uri, url_parse, url_roundtrip, url_of_key, url_reverse_host, url_domain, url_is_image, record_pages, parsed_pages, parsed_edges,
 )}
 
 # --- SQL -----------------------------------------------------------------------------------------
@@ -351,6 +359,9 @@ UNION ALL SELECT 'd:' || domain, 'domain', 'pagecount', pagecount::VARCHAR FROM
     "incremental_uri_info": _FINAL + "SELECT uri, links_to, docs FROM info2",
     "incremental_domain_count": _FINAL + "SELECT split_part(uri, '>', 1) AS domain, count(*)::BIGINT AS pagecount FROM info2 GROUP BY 1",
     "streamed_uri_info": _FINAL + "SELECT uri, links_to, docs FROM info2",
+    "update_meters": _FINAL + """, dn AS (SELECT split_part(uri, '>', 1) AS domain, sum(a)::BIGINT AS was, sum(b)::BIGINT AS now FROM (SELECT uri, 1 AS a, 0 AS b FROM info UNION ALL SELECT uri, 0, 1 FROM info2) GROUP BY 1)
+SELECT (SELECT count(*) FROM page_updates)::BIGINT AS updates_in, (SELECT count(*) FROM touched)::BIGINT AS pages_changed, (SELECT count(*) FROM added)::BIGINT AS links_new, (SELECT count(*) FROM deleted)::BIGINT AS links_deleted, (SELECT count(*) FROM delta)::BIGINT AS uris_changed,
+(SELECT count(*) FROM dn WHERE was = 0)::BIGINT AS domains_new, (SELECT count(*) FROM dn WHERE now = 0)::BIGINT AS domains_gone, (SELECT count(*) FROM dn WHERE was <> now)::BIGINT AS domains_changed""",
     "metric_buckets": "SELECT time_bucket(INTERVAL 30 SECOND, ts) AS bucket, event_type, round(sum(value), 2) AS total, count(*)::BIGINT AS n FROM events GROUP BY 1, 2",
     "url_to_uri": "SELECT fetch_id, uri FROM fetches",
     "url_roundtrip": "SELECT uri FROM uri_info WHERE false",

@@ -155,3 +155,25 @@ def test_stream(spark, tmp_path):
 def test_time_buckets(spark):
     e = spark.sql("SELECT timestamp'2024-01-01 00:00:29' ts, 1.0D value, 'a' k UNION ALL SELECT timestamp'2024-01-01 00:00:30', 2.0D, 'a' UNION ALL SELECT timestamp'2024-01-01 00:00:59', 3.0D, 'a'")
     assert [(r.total, r.n) for r in index.time_buckets(e, "ts", "value", ["k"]).orderBy("bucket").collect()] == [(1.0, 1), (5.0, 2)]
+
+
+def test_api(set1, spark):
+    from linkloom import api
+
+    ix = LinkIndex(set1["pages"], index.edges(set1["pages"]), set1["uri_info"], set1["domain_count"])
+    assert api.answer(ix, "/api/top", {})[1]["results"][0] == {"key": B3, "value": 2}
+    assert api.answer(ix, "/api/pages", {"domain": "b.com"})[1]["total"] == 4
+    assert api.answer(ix, "/api/page", {"url": "http://b.com/3"})[1]["num_inbound"] == 2
+    got = api.answer(ix, "/api/links", {"url": "http://c.com/1", "linkType": "in"})[1]
+    assert [x["uri"] for x in got["links"]] == [A1, B] and got["total"] == 2 and got["next"] == ""
+    assert api.answer(ix, "/api/links", {"url": "http://c.com/1"})[0] == 400 and api.answer(ix, "/api/page", {"url": "nope"})[0] == 400 and api.answer(ix, "/x", {})[0] == 404
+
+
+def test_meters(set1, spark):
+    from linkloom.operators import metrics
+
+    m = metrics.update_meters(set1, spark.createDataFrame([update(1, A1, [C1, "com.new>>o>/"]), update(2, B, [], "D"), update(3, "com.z>>o>/", [], "D")], UPDATE), ["update_id"]).first()
+    assert (m.updates_in, m.pages_changed, m.links_new, m.links_deleted, m.domains_new, m.domains_gone) == (3, 2, 1, 5, 1, 1)
+    df, seen = metrics.observed(spark.createDataFrame([*SET1, page(C1, [])], schema.PAGE))
+    df.write.format("noop").mode("overwrite").save()
+    assert seen.get == {"pages": 3, "empty_pages": 1, "links": 6}

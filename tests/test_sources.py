@@ -45,6 +45,13 @@ def test_pages_of_records(spark, archive):
     assert [(x.uri, x.anchor_text) for x in p.outbound_links] == [("org.other>>o>/x", "go"), ("net.third>>o8080>/", "by title")]
 
 
+def test_exact_links(spark):
+    """The ill-typed link 7 is skipped, or ends the list."""
+    row = spark.createDataFrame([(1, "http://www.site.com/a", "d", "application/json", BODY), (2, "http://www.site.com/a", "d", "Application/JSON", BODY)], "record_no long, target_uri string, warc_date string, content_type string, body string")
+    count = lambda exact: {r.record_no: len(r.raw_links) for r in records.raw_pages(row, exact).collect()}
+    assert count(False) == {1: 4, 2: 0} and count(True) == {1: 3, 2: 0}
+
+
 def test_json_lines(spark, tmp_path):
     (tmp_path / "p.txt").write_text('{"url":"http://a.com/","uri":"com.a>>o>/","numOutbound":1,"outboundLinks":[{"url":"http://b.com/","uri":"com.b>>o>/","anchorText":"x"}]}\nbroken\n{"url":"http://c.com/","uri":"com.c>>o>/","numOutbound":0,"outboundLinks":[]}\n')
     p = page_source.read_pages(spark, str(tmp_path / "p.txt"))
