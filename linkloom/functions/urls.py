@@ -9,7 +9,9 @@ public suffix list, which is joined on distinct hosts (`with_domains`).
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,20 +36,31 @@ def is_ip(host: Column) -> Column:
     return host.rlike(IPV4)
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value computed once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def split_url(raw: Column) -> Column:
     """STRUCT<host, path, port, secure, ip_host>, null where the address is malformed. The domain is not checked yet."""
+
+    def parts(text: Column) -> Column:
+        rest = F.regexp_extract(text, r"(?is)^https?://(.*)$", 1)
+        return F.struct(F.length(text).alias("n"), text.rlike(r"^(?i)https?://").alias("known"), text.rlike(r"^(?i)https://").alias("secure"), F.lower(F.regexp_extract(rest, r"^([^/?#]*)", 1)).alias("authority"), F.regexp_extract(rest, r"(?s)^[^/?#]*(.*)$", 1).alias("path"))
+
+    def place(p: Column) -> Column:
+        has_port = p["authority"].contains(":")
+        port_text = F.regexp_extract(p["authority"], r"(?s)^[^:]*:(.*)$", 1)
+        port = F.when(~has_port, F.when(p["secure"], 443).otherwise(80)).when(port_text.rlike(r"^[+-]?\d+$"), port_text.try_cast("int"))
+        host = F.substring_index(p["authority"], ":", 1)
+        return F.struct(host.alias("host"), F.when(p["path"] == "", "/").otherwise(p["path"]).alias("path"), port.alias("port"), p["secure"].alias("secure"), is_ip(host).alias("ip_host"), (p["known"] & (p["n"] >= SHORTEST)).alias("ok"))
+
+    def checked(u: Column) -> Column:
+        ok = u["ok"] & (u["host"] != "") & u["port"].isNotNull() & (u["ip_host"] | (u["host"].rlike(HOST) & (F.length(u["host"]) <= 254)))
+        return F.when(ok, F.struct(*[u[c].alias(c) for c in ("host", "path", "port", "secure", "ip_host")]))
+
     text = F.regexp_replace(raw, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
-    scheme = F.lower(F.regexp_extract(text, r"^(?i)(https?)://", 1))
-    rest = F.regexp_replace(text, r"^(?i)https?://", "")
-    authority = F.lower(F.regexp_extract(rest, r"^([^/?#]*)", 1))
-    path = F.regexp_extract(rest, r"(?s)^[^/?#]*(.*)$", 1)
-    has_port = authority.contains(":")
-    host = F.when(has_port, F.substring_index(authority, ":", 1)).otherwise(authority)
-    port_text = F.regexp_extract(authority, r"(?s)^[^:]*:(.*)$", 1)
-    secure = scheme == "https"
-    port = F.when(~has_port, F.when(secure, 443).otherwise(80)).when(port_text.rlike(r"^[+-]?\d+$"), port_text.try_cast("int"))
-    ok = ~raw.contains(">") & (F.length(text) >= SHORTEST) & (scheme != "") & (host != "") & port.isNotNull() & (is_ip(host) | (host.rlike(HOST) & (F.length(host) <= 254)))
-    return F.when(ok, F.struct(host.alias("host"), F.when(path == "", "/").otherwise(path).alias("path"), port.alias("port"), secure.alias("secure"), is_ip(host).alias("ip_host")))
+    return F.when(~raw.contains(">"), bound(text, lambda t: bound(parts(t), lambda p: bound(place(p), checked))))
 
 
 def key_of(url: Column, domain: Column) -> Column:
@@ -117,17 +130,21 @@ def _rules() -> tuple[tuple[str, str], ...]:
 
 
 def suffix_rules(spark: SparkSession) -> DataFrame:
-    """(kind, suffix): the public suffix list that Spark's own libraries carry; about ten thousand rows."""
-    return spark.createDataFrame(list(_rules()), "kind string, suffix string")
+    """(suffix, kinds): the public suffix list that Spark's own libraries carry; about ten thousand rows."""
+    kinds: dict[str, list[str]] = {}
+    for kind, suffix in _rules():
+        kinds.setdefault(suffix, []).append(kind)
+    return spark.createDataFrame(pa.table({"suffix": list(kinds), "kinds": list(kinds.values())}))
 
 
 def host_domains(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
     """(host, domain) of distinct hosts; hosts without registrable domain are left out.
 
     Every tail of a host is looked up in the broadcast list (fixed size); the longest hit decides.
+    suffixes: own rules as (kind, suffix), kind being exact, under or excluded.
     """
     spark = hosts.sparkSession
-    rules = F.broadcast((suffix_rules(spark) if suffixes is None else suffixes).groupBy("suffix").agg(F.collect_set("kind").alias("kinds")))
+    rules = F.broadcast(suffix_rules(spark) if suffixes is None else suffixes.groupBy("suffix").agg(F.collect_set("kind").alias("kinds")))
     plain = F.regexp_replace("host", r"\.$", "")
     labels = hosts.select("host").where("host is not null").distinct().withColumn("labels", F.split(plain, r"\."))
     tails = labels.where(~is_ip(F.col("host"))).select("host", "labels", F.explode(F.sequence(F.lit(0), F.size("labels") - 1)).alias("i"))
