@@ -146,7 +146,9 @@ def host_domains(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFra
     spark = hosts.sparkSession
     rules = F.broadcast(suffix_rules(spark) if suffixes is None else suffixes.groupBy("suffix").agg(F.collect_set("kind").alias("kinds")))
     plain = F.regexp_replace("host", r"\.$", "")
-    labels = hosts.select("host").where("host is not null").distinct().withColumn("labels", F.split(plain, r"\."))
+    # the partition number keeps later filters above this projection, so that a host computed from an address is computed once
+    once = hosts.select("host", F.spark_partition_id().alias("part")).groupBy("host").agg(F.max("part").alias("part")).where("part >= 0 and host is not null")
+    labels = once.select("host", F.split(plain, r"\.").alias("labels"))
     tails = labels.where(~is_ip(F.col("host"))).select("host", "labels", F.explode(F.sequence(F.lit(0), F.size("labels") - 1)).alias("i"))
     tails = tails.withColumn("tail", F.array_join(F.slice("labels", F.col("i") + 1, F.size("labels")), "."))
     tails = tails.withColumn("parent", F.when(F.col("tail").contains("."), F.regexp_replace("tail", r"^[^.]*\.", "")))
