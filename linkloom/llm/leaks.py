@@ -7,8 +7,8 @@ block-max WAND, which returns all sentences above a threshold and skips the
 rest. Impacts are divided by the sentence's score against itself, so the
 threshold is a share. Windows that share only common words with all items end at
 the first bound. Candidates are then verified on the text: a sentence counts if
-a stretch of the document holds most of its weight and most of its rare words,
-letting single letters differ; a document leaks an item if two neighbouring
+a stretch of the document holds most of its weight and most of its rare words (or
+nearly all its weight and one of them), letting single letters differ; a document leaks an item if two neighbouring
 sentences of the item count.
 
 Scale: one narrow pass over the documents; nothing is shuffled but the result.
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from ..runtime import spread
 
 WINDOW, STRIDE, BLOCK, POSTING_BLOCK = 48, 24, 20_000, 32
-THRESHOLD, COVER, RARE_COVER = 0.3, 0.6, 0.6
+THRESHOLD, COVER, RARE_COVER, HIGH_COVER = 0.3, 0.6, 0.6, 0.74
 K1, B = 1.2, 0.75
 
 # Cyrillic and Greek letters that look like Latin ones.
@@ -188,6 +188,8 @@ class Index:
                     have_rare -= v in rare
             if have_weight >= COVER * weight and have_rare >= RARE_COVER * len(rare):
                 return True
+            if have_weight >= HIGH_COVER * weight and have_rare:
+                return True
         return False
 
     def leaks(self, text: str | None) -> list[int]:
