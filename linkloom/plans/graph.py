@@ -363,6 +363,11 @@ SELECT (SELECT count(*) FROM page_updates)::BIGINT AS updates_in, (SELECT count(
 (SELECT count(*) FROM dn WHERE was = 0)::BIGINT AS domains_new, (SELECT count(*) FROM dn WHERE now = 0)::BIGINT AS domains_gone, (SELECT count(*) FROM dn WHERE was <> now)::BIGINT AS domains_changed""",
     "metric_buckets": "SELECT time_bucket(INTERVAL 30 SECOND, ts) AS bucket, event_type, round(sum(value), 2) AS total, count(*)::BIGINT AS n FROM events GROUP BY 1, 2",
     "url_to_uri": "SELECT fetch_id, uri FROM fetches",
+    "url_parse": r"""WITH t AS (SELECT fetch_id, uri, regexp_replace(url, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g') AS x FROM fetches WHERE uri IS NOT NULL),
+a AS (SELECT fetch_id, split_part(uri, '>', 1) AS rev, lower(regexp_extract(x, '^[a-zA-Z]+://([^/?#]*)', 1)) AS authority, regexp_extract(x, '^[a-zA-Z]+://[^/?#]*(.*)$', 1) AS path, lower(x[1:6]) = 'https:' AS secure FROM t),
+b AS (SELECT *, split_part(authority, ':', 1) AS host FROM a), c AS (SELECT *, regexp_matches(host, '^[0-9.]+$') AS ip_host FROM b)
+SELECT fetch_id, CASE WHEN ip_host THEN host ELSE array_to_string(list_reverse(string_split(rev, '.')), '.') END AS domain, host, CASE WHEN path = '' THEN '/' ELSE path END AS path,
+CASE WHEN contains(authority, ':') THEN split_part(authority, ':', 2)::INTEGER WHEN secure THEN 443 ELSE 80 END AS port, secure, ip_host FROM c""",
     "url_roundtrip": "SELECT uri FROM uri_info WHERE false",
     "url_of_key": "SELECT DISTINCT uri, url FROM page_snapshots WHERE uri IS NOT NULL",
     "url_reverse_host": "SELECT host, array_to_string(list_reverse(string_split(host, '.')), '.') AS turned FROM (SELECT DISTINCT regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1) AS host FROM page_snapshots)",
@@ -372,4 +377,10 @@ SELECT (SELECT count(*) FROM page_updates)::BIGINT AS updates_in, (SELECT count(
 x AS (SELECT *, CASE WHEN content_type = 'application/json' AND json_type(doc, '{_JSON}."HTML-Metadata".Links') = 'ARRAY' THEN json_extract(doc, '{_JSON}."HTML-Metadata".Links[*]') ELSE [] END AS ls FROM docs)
 SELECT record_no, target_uri AS url, warc_date AS crawl_date, {_TEXT.format(x="doc", p=_JSON + ".Headers.Server")} AS server, {_TEXT.format(x="doc", p=_JSON + '."HTML-Metadata".Head.Title')} AS title,
 len(list_filter(ls, lambda l: json_type(l, '$.url') = 'VARCHAR' AND json_type(l, '$.path') = 'VARCHAR' AND json_extract_string(l, '$.path') = 'A@/href'))::INTEGER AS n_links FROM x""",
+    "record_pages_exact": f"""WITH docs AS (SELECT record_no, content_type, body::JSON AS doc FROM wat_records WHERE json_valid(body) AND lower(content_type) = 'application/json'),
+x AS (SELECT record_no, CASE WHEN content_type = 'application/json' AND json_type(doc, '{_JSON}."HTML-Metadata".Links') = 'ARRAY' THEN json_extract(doc, '{_JSON}."HTML-Metadata".Links[*]') ELSE [] END AS ls FROM docs),
+y AS (SELECT record_no, ls, list_position(list_transform(ls, lambda l: json_type(l) <> 'OBJECT' OR coalesce(json_type(l, '$.path') = 'VARCHAR' AND json_extract_string(l, '$.path') = 'A@/href' AND json_type(l, '$.url') IS NOT NULL
+  AND (json_type(l, '$.url') <> 'VARCHAR' OR coalesce(json_type(l, '$.text'), json_type(l, '$.title'), 'VARCHAR') <> 'VARCHAR'), false)), true) AS stop FROM x),
+z AS (SELECT record_no, CASE WHEN stop IS NULL OR stop = 0 THEN ls ELSE ls[1:stop - 1] END AS ls FROM y)
+SELECT record_no, len(list_filter(ls, lambda l: json_type(l, '$.url') = 'VARCHAR' AND json_type(l, '$.path') = 'VARCHAR' AND json_extract_string(l, '$.path') = 'A@/href'))::INTEGER AS n_links FROM z""",
 }
