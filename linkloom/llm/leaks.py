@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from ..runtime import spread
 
 WINDOW, STRIDE, BLOCK, POSTING_BLOCK = 48, 24, 20_000, 32
-THRESHOLD, COVER, RARE_COVER, HIGH_COVER = 0.3, 0.6, 0.6, 0.74
+THRESHOLD, COVER, RARE_COVER, HIGH_COVER = 0.45, 0.6, 0.6, 0.74
 K1, B = 1.2, 0.75
 
 # Cyrillic and Greek letters that look like Latin ones.
