@@ -11,6 +11,10 @@ A text may be garbled in part: every word takes the better of its two readings,
 and only words that gain count. Lost characters (U+FFFD, cut sequences, case
 changes of lead bytes) cost likelihood but do not stop a chain.
 
+The model learns each text once per field and source, whatever its rows, and a
+text is scored without its own copies, so that a garbled text that is repeated
+often doesn't teach the model that it is normal.
+
 Scale: rows are reduced to distinct (field, source, text) with counts; the
 text model is four hashed tables of fixed size (13 MB), summed per task and
 merged by addition; Python scores distinct non-ASCII texts only; the EM rounds
@@ -29,6 +33,7 @@ import functools
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -127,23 +132,37 @@ class TextModel:
     """
 
     def __init__(self, tables: list[np.ndarray]):
-        self.uni, self.bi, self.words, self.more = tables
-        self.total, self.n_words = float(self.uni.sum()) + UNI, float(self.words.sum()) + 1
+        self.tables = tables
+        self.uni, self.bi, self.words, self.more = map(memoryview, tables)  # single cells are read faster than from arrays
+        self.total, self.n_words = float(tables[0].sum()) + UNI, float(tables[2].sum()) + 1
 
-    def cost(self, word: str) -> float:
-        """Negative log likelihood; a lost character costs a constant."""
+    def cost(self, word: str, own: Own) -> float:
+        """Negative log likelihood without the counts of the text itself; a lost character costs a constant."""
         word = word.casefold()
         cs = [ord(c) for c in " " + word + " "]
-        u, b, out = self.uni, self.bi, 0.0
-        for x, y in zip(cs, cs[1:]):
+        total, n_words, out = max(self.total - own.n_chars, UNI), max(self.n_words - own.n_words, 1.0), 0.0
+        uni = [max(self.uni[c % UNI] - own.uni.get(c % UNI, 0.0), 0.0) for c in cs]
+        for x, y, nx, ny in zip(cs, cs[1:], uni, uni[1:]):
             if y == 0xFFFD:
                 out += LOST_COST
                 continue
-            p0 = (u[y % UNI] + 0.5) / self.total
-            out -= math.log((b[(x * 1000003 + y) % BI] + 20 * p0) / (u[x % UNI] + 20)) if x != 0xFFFD else math.log(p0)
+            p0, pair = (ny + 0.5) / total, (x * 1000003 + y) % BI
+            out -= math.log((max(self.bi[pair] - own.bi.get(pair, 0.0), 0.0) + 20 * p0) / (nx + 20)) if x != 0xFFFD else math.log(p0)
         i, j = _slots(word)
-        n = min(self.words[i], self.more[j]) - DISCOUNT * self.n_words
-        return min(out, 0.7 - math.log(n / self.n_words)) if n > 0 else out
+        n = min(self.words[i], self.more[j]) - own.words.get(word, 0.0) - DISCOUNT * n_words
+        return min(out, 0.7 - math.log(n / n_words)) if n > 0 else out
+
+
+class Own:
+    """What a text of weight n gave to the model."""
+
+    def __init__(self, text: str, n: float):
+        text = text.casefold()
+        cs, words = [ord(c) for c in " " + text + " "], [x for x in _SPLIT.split(text)[::2] if x]
+        self.uni = {at: k * n for at, k in Counter(c % UNI for c in cs).items()}
+        self.bi = {at: k * n for at, k in Counter((x * 1000003 + y) % BI for x, y in zip(cs, cs[1:])).items()}
+        self.words = {w: k * n for w, k in Counter(words).items()}
+        self.n_chars, self.n_words = len(cs) * n, len(words) * n
 
 
 def _slots(word: str) -> tuple[int, int]:
@@ -168,36 +187,42 @@ def count_text(texts: list[str], weights: list[int]) -> list[np.ndarray]:
 
 
 class Scorer:
-    """Candidate chains of texts; words are cached."""
+    """Candidate chains of texts; what a word may have been is cached."""
 
     def __init__(self, model: TextModel):
         self.model, self.known = model, {}
 
-    def _word(self, word: str) -> dict[int, tuple[float, str]]:
-        if word.isascii():
-            return {}
+    def _forms(self, word: str) -> dict[int, list[str]]:
+        """Readings of a word under each chain that can be undone."""
         if word not in self.known:
             if len(self.known) > 100_000:
                 self.known.clear()
-            own, out = self.model.cost(word), {}
+            out: dict[int, list[str]] = {}
             raised, upper = _LEAD.sub(lambda m: m[1].upper(), word), "".join(c.upper() if len(c.upper()) == 1 else c for c in word)
             for z, chain in enumerate(CHAINS):
-                best = None
                 for form in dict.fromkeys((word, raised, upper)):
                     y = undo(form, chain) if chain else None
                     if y is not None and (y.count(LOST) <= word.count(LOST) + (len(y) > 2 and y.endswith(LOST)) or LOST in word) and not any("\x7f" < c < "\xa0" for c in y):
-                        gain = own - self.model.cost(y)
-                        if best is None or gain > best[0]:
-                            best = gain, y
-                if best is not None and best[0] > 0:
-                    out[z] = best
+                        out.setdefault(z, []).append(y)
             self.known[word] = out
         return self.known[word]
 
-    def score(self, text: str) -> list[tuple[int, float, str]]:
-        """(chain, gain in log likelihood over 'none', repaired text) of the chains that gain."""
-        parts = _SPLIT.split(text)
-        found = [self._word(p) for p in parts]
+    def _word(self, word: str, own: Own) -> dict[int, tuple[float, str]]:
+        if word.isascii() or not (forms := self._forms(word)):
+            return {}
+        cost, out = self.model.cost(word, own), {}
+        costs = {y: self.model.cost(y, own) for y in dict.fromkeys(y for ys in forms.values() for y in ys)}
+        for z, ys in forms.items():
+            y = min(ys, key=costs.__getitem__)
+            if cost > costs[y]:
+                out[z] = cost - costs[y], y
+        return out
+
+    def score(self, text: str, n: float) -> list[tuple[int, float, str]]:
+        """(chain, gain in log likelihood over 'none', repaired text) of the chains that gain; n is the text's weight in the model."""
+        parts, own = _SPLIT.split(text), Own(text, n)
+        each = {p: self._word(p, own) for p in dict.fromkeys(parts)}
+        found = [each[p] for p in parts]
         zs = {z for f in found for z in f}
         out = []
         for z in sorted(zs):
@@ -210,7 +235,7 @@ class Scorer:
 
 
 def _model_of(distinct: DataFrame) -> TextModel:
-    """Sums of all texts, weighted by their rows; what reaches the driver is four tables of fixed size."""
+    """Sums of all texts by their weights; what reaches the driver is four tables of fixed size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = [np.zeros(n) for n in SIZES]
@@ -234,19 +259,19 @@ def garbled_texts(rows: DataFrame) -> DataFrame:
     sc = rows.sparkSession.sparkContext
     per = rows.where("text <> ''").groupBy("field_name", F.coalesce("source", F.lit("")).alias("source"), "text").agg(F.count("*").alias("n"))
     per = cut(per)
-    texts = per.groupBy("text").agg(F.sum("n").alias("n"))
+    texts = per.groupBy("text").agg(F.count("*").alias("n"))  # once per field and source
     model = _model_of(texts)
-    held = sc.broadcast([model.uni, model.bi, model.words, model.more])
+    held = sc.broadcast(model.tables)
 
     def scoring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(TextModel(held.value))
         for b in batches:
-            found = [(t, z, g, y) for t in b.column(0).to_pylist() for z, g, y in scorer.score(t)]
+            found = [(t, z, g, y) for t, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for z, g, y in scorer.score(t, n)]
             if found:
                 t, z, g, y = zip(*found)
                 yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(z, pa.int32()), pa.array(g, pa.float64()), pa.array(y)], ["text", "chain", "gain", "fixed"])
 
-    odd = texts.where(F.col("text").rlike("[^\\x00-\\x7f]")).select("text")
+    odd = texts.where(F.col("text").rlike("[^\\x00-\\x7f]"))
     cands = cut(odd.mapInArrow(scoring, "text string, chain int, gain double, fixed string"))
     who = ["field_name", "source"]
     sizes = per.groupBy(*who).agg(F.sum("n").alias("rows"))

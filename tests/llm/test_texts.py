@@ -182,6 +182,17 @@ def test_garbled(spark):
     assert garbled.garbled_rows(df.where("false")).count() == 0
 
 
+def test_a_hot_garbled_text_is_found(spark):
+    """One garbled anchor of a hot page fills a third of the rows, from one source or from many."""
+    schema = "field_name string, row_id long, list_pos int, source string, text string"
+    clean = [("f", i, -1, f"s{i % 50}", t) for i, t in enumerate(texts(3000, 1) + ["Bücher Zubehör"] * 20)]
+    bad = "Bücher Zubehör".encode().decode("cp1252")
+    for sources in (1, 50):
+        hot = [("f", 10_000 + i, -1, f"s{i % sources}", bad) for i in range(1500)]
+        got = garbled.garbled_rows(spark.createDataFrame(clean + hot, schema)).collect()
+        assert {r.row_id for r in got} == {r[1] for r in hot} and {r.fixed for r in got} == {"Bücher Zubehör"}, sources
+
+
 @pytest.mark.parametrize("chain", [c for c in garbled.CHAINS if c])
 def test_chains_undo(chain):
     text = "año été 1"
