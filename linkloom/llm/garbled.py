@@ -3,12 +3,14 @@
 A latent chain (written in A, read in B, perhaps twice) is assumed behind every
 text; 'none' is one of the chains. Undoing a chain gives a candidate text, whose
 likelihood under a character model of the corpus says how well the chain explains
-what was seen. EM pools this evidence per source and field: a source's share of
-each chain is the prior of its own weak cases. A text is garbled if the posterior
-of 'none' is below one half; the best chain's candidate is its repair.
-
-A text may be garbled in part: every word takes the better of its two readings,
-and only words that gain count. Lost characters (U+FFFD, cut sequences, case
+what was seen. EM pools this evidence per source and field: a source's shares of
+'none' and of each chain are the prior of its own weak cases. Every chain that can
+be undone takes part, also one that loses likelihood; pure ASCII texts tell nothing
+of the shares. A text is garbled if the posterior of 'none' is below one half; the
+best chain's candidate is its repair.
+
+A text may be garbled in part: of its non-ASCII words those are undone that gain
+most, less the cost of naming them among all. Lost characters (U+FFFD, cut sequences, case
 changes of lead bytes) cost likelihood but do not stop a chain.
 
 The model learns each text once per field and source, whatever its rows, and a
@@ -17,8 +19,8 @@ often doesn't teach the model that it is normal.
 
 Scale: rows are reduced to distinct (field, source, text) with counts; the
 text model is four hashed tables of fixed size (13 MB), summed per task and
-merged by addition; Python scores distinct non-ASCII texts only; the EM rounds
-are joins and sums over the few ambiguous texts. Long texts are scored whole.
+merged by addition; Python scores distinct non-ASCII texts only; an EM round joins
+their gains with one row of shares per source and sums by source and chain. Long texts are scored whole.
 
 Defined results
 * null, empty and pure ASCII texts: not garbled
@@ -56,10 +58,10 @@ CHAINS: list[tuple[tuple[str, str], ...]] = [
     (("utf-8", "cp1252"), ("utf-8", "cp1252")),
     (("utf-8", "cp1252"), ("utf-8", "cp1252"), ("utf-8", "cp1252")),
 ]
-LOST, LOST_COST, WINDOW_COST = "�", 6.0, 1.0
+LOST, LOST_COST = "�", 6.0
 UNI, BI, WORDS, DISCOUNT = 1 << 16, 1 << 20, 1 << 20, 3e-4
 SIZES = (UNI, BI, WORDS, WORDS)
-PRIOR, SPREAD, ROUNDS, KEEP_GAIN = 0.03, 20.0, 3, 2.0
+PRIOR, SPREAD, START, STILL, ROUNDS = 0.03, 20.0, 0.5, 0.005, 30  # EM ends when no share moves by STILL
 _LEAD = re.compile("([à-þăąćďđęĺŕřрстξο])(?=[^\x00-\x7f])")
 _SPLIT = re.compile("( +|[\t\r\n]+)")
 
@@ -214,23 +216,23 @@ class Scorer:
         costs = {y: self.model.cost(y, own) for y in dict.fromkeys(y for ys in forms.values() for y in ys)}
         for z, ys in forms.items():
             y = min(ys, key=costs.__getitem__)
-            if cost > costs[y]:
-                out[z] = cost - costs[y], y
+            out[z] = cost - costs[y], y
         return out
 
-    def score(self, text: str, n: float) -> list[tuple[int, float, str]]:
-        """(chain, gain in log likelihood over 'none', repaired text) of the chains that gain; n is the text's weight in the model."""
+    def score(self, text: str, n: float, only: int | None = None) -> list[tuple[int, float, str]]:
+        """(chain, gain in log likelihood over 'none', repaired text) of the chains that can be undone; n is the text's weight in the model."""
         parts, own = _SPLIT.split(text), Own(text, n)
         each = {p: self._word(p, own) for p in dict.fromkeys(parts)}
         found = [each[p] for p in parts]
-        zs = {z for f in found for z in f}
-        out = []
-        for z in sorted(zs):
-            gain = sum(f[z][0] for f in found if z in f) - WINDOW_COST
-            if gain > KEEP_GAIN:
-                out.append((z, gain, "".join(f[z][1] if z in f else p for f, p in zip(found, parts))))
-        if LOST in text and not out:
-            out = [(len(CHAINS), 50.0, text)]  # read as UTF-8 with losses: the bytes are gone
+        m, out = sum(not p.isascii() for p in parts), []
+        for z in sorted({z for f in each.values() for z in f}) if only is None else [only]:
+            at = sorted((i for i, f in enumerate(found) if z in f), key=lambda i: -found[i][z][0])
+            best, total = (-math.inf, 0), 0.0
+            for k, i in enumerate(at, 1):  # k of m words: one of m * C(m, k) ways
+                total += found[i][z][0]
+                best = max(best, (total - math.log(m) - math.lgamma(m + 1) + math.lgamma(k + 1) + math.lgamma(m - k + 1), k))
+            undone = set(at[: best[1]])
+            out.append((z, best[0], "".join(f[z][1] if i in undone else p for i, (f, p) in enumerate(zip(found, parts)))))
         return out
 
 
@@ -256,43 +258,57 @@ def _model_of(distinct: DataFrame) -> TextModel:
 
 def garbled_texts(rows: DataFrame) -> DataFrame:
     """(field_name, source, text, fixed, chain, p_none) of the garbled texts. rows: field_name, source, text."""
-    sc = rows.sparkSession.sparkContext
-    per = rows.where("text <> ''").groupBy("field_name", F.coalesce("source", F.lit("")).alias("source"), "text").agg(F.count("*").alias("n"))
-    per = cut(per)
+    sc, who = rows.sparkSession.sparkContext, ["field_name", "source"]
+    per = cut(rows.where("text <> ''").select("field_name", F.coalesce("source", F.lit("")).alias("source"), "text").distinct())
     texts = per.groupBy("text").agg(F.count("*").alias("n"))  # once per field and source
-    model = _model_of(texts)
-    held = sc.broadcast(model.tables)
+    held = sc.broadcast(_model_of(texts).tables)
 
     def scoring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(TextModel(held.value))
         for b in batches:
-            found = [(t, z, g, y) for t, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for z, g, y in scorer.score(t, n)]
-            if found:
-                t, z, g, y = zip(*found)
-                yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(z, pa.int32()), pa.array(g, pa.float64()), pa.array(y)], ["text", "chain", "gain", "fixed"])
-
-    odd = texts.where(F.col("text").rlike("[^\\x00-\\x7f]"))
-    cands = cut(odd.mapInArrow(scoring, "text string, chain int, gain double, fixed string"))
-    who = ["field_name", "source"]
-    sizes = per.groupBy(*who).agg(F.sum("n").alias("rows"))
-    cases = cut(per.join(if_small(cands, 200_000), "text").join(sizes, who))
-    # exp(gain) of a chain against 'none', both under the source's shares; gains are cut off for safety only
-    odds = lambda share: F.exp(F.least(F.col("gain"), F.lit(200.0))) * share
-    start = F.lit(PRIOR / len(CHAINS))
-    n_all = sizes.agg(F.sum("rows")).first()[0] or 1
-    scored = cases.withColumn("odds", odds(start))
+            found = [(t, n, scorer.score(t, n)) for t, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+            zs, gs = ([[x[i] for x in f] for _, _, f in found] for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.int64()), pa.array(zs, pa.list_(pa.int32())), pa.array(gs, pa.list_(pa.float32()))], ["text", "n", "zs", "gains"])
+
+    def repairing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(TextModel(held.value))
+        for b in batches:
+            t, n, z = (b.column(c).to_pylist() for c in ("text", "n", "chain"))
+            fixed = [scorer.score(*x)[0][2] if x[2] < len(CHAINS) else x[0] for x in zip(t, n, z)]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in (*who, "text")), pa.array(fixed, pa.string()), b.column("chain"), b.column("p_none")], [*who, "text", "fixed", "chain", "p_none"])
+
+    odd = "text rlike '[^\\\\x00-\\\\x7f]'"
+    cands = cut(texts.where(odd).mapInArrow(scoring, "text string, n long, zs array<int>, gains array<float>").where(F.expr("size(zs) > 0") | F.col("text").contains(LOST)))
+    sizes = cut(per.where(odd).groupBy(*who).agg(F.count("*").alias("size")))
+    n_all, chains = sizes.agg(F.sum("size")).first()[0] or 0, range(1, len(CHAINS))
+    # a source's texts lie in one part, so that its sums leave it once; a large source is dealt out to several
+    deal = F.pmod(F.xxhash64("text"), F.ceil(F.col("size") * 64 / max(n_all, 1))).alias("deal")
+    cases = per.join(if_small(cands, 50_000), "text").join(if_small(sizes), who)
+    cases = cut(cases.select(*who, "text", "n", "zs", "gains", deal).repartition(*who, "deal").drop("deal"))
+    shares = sizes.select(*who, "size", F.array(*[F.lit(START / len(chains)) for _ in chains]).alias("share"))
+    # exp(gain) of a chain against 'none', under the source's shares; gains are cut off for safety only
+    odds = F.zip_with("zs", "gains", lambda z, g: F.exp(F.least(g, F.lit(200.0))) * F.element_at("share", z))
+    add = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
+    none = F.greatest(1 - add("share"), F.lit(1e-12))
+    weighed = lambda: cases.join(if_small(shares), who).withColumn("odds", odds).withColumn("none", none).withColumn("all", F.col("none") + add("odds"))
     for _ in range(ROUNDS):
-        key = [*who, "text"]
-        total = scored.groupBy(*key).agg(F.sum("odds").alias("all"))
-        post = scored.join(total, key).withColumn("p", F.col("odds") / (F.col("all") + F.lit(1 - PRIOR)))
-        mass = post.groupBy(*who, "chain").agg(F.sum(F.col("p") * F.col("n")).alias("m"), F.first("rows").alias("rows"))
-        everywhere = mass.groupBy("chain").agg(F.sum("m").alias("m_all"))  # one row per chain
-        base = (F.col("m_all") + F.lit(1.0)) / F.lit(float(n_all + len(CHAINS)))
-        shares = mass.join(F.broadcast(everywhere), "chain").select(*who, "chain", ((F.col("m") + F.lit(SPREAD) * base) / (F.col("rows") + F.lit(SPREAD))).alias("share"))
-        scored = cut(cases.join(shares, [*who, "chain"]).withColumn("odds", odds(F.col("share"))))
-    best = scored.groupBy(*who, "text").agg(F.sum("odds").alias("all"), F.max(F.struct(F.col("odds"), -F.col("chain"), F.col("fixed"))).alias("b"))
-    p_none = F.lit(1 - PRIOR) / (F.col("all") + F.lit(1 - PRIOR))
-    return best.select(*who, "text", F.col("b.fixed").alias("fixed"), (-F.col("b")["col2"]).alias("chain"), p_none.alias("p_none")).where("p_none < 0.5")
+        post = weighed().select(*who, F.explode(F.arrays_zip("zs", F.transform("odds", lambda x: x / F.col("all")).alias("p"))).alias("x"))
+        mass = cut(post.groupBy(*who, F.col("x.zs").alias("z")).agg(F.sum("x.p").alias("m")))
+        everywhere = {r.z: r.m for r in mass.groupBy("z").agg(F.sum("m").alias("m")).collect()}  # one row per chain
+        base = F.array(*[F.lit((everywhere.get(z, 0.0) + PRIOR) / (n_all + len(CHAINS))) for z in chains])
+        own = mass.groupBy(*who).agg(F.map_from_entries(F.collect_list(F.struct("z", "m"))).alias("own"))  # at most one entry per chain
+        share = F.transform(F.sequence(F.lit(1), F.lit(len(chains))), lambda z: (F.coalesce(F.try_element_at("own", z), F.lit(0.0)) + SPREAD * F.element_at(base, z)) / (F.col("size") + SPREAD))
+        nxt = cut(shares.withColumnRenamed("share", "before").join(own, who, "left").select(*who, "size", "before", share.alias("share")))
+        moved = nxt.agg(F.max(F.array_max(F.zip_with("before", "share", lambda a, b: F.abs(a - b))))).first()[0]
+        shares = nxt.drop("before")
+        if (moved or 0.0) < STILL:
+            break
+    lost = F.col("text").contains(LOST)
+    best = F.array_max(F.zip_with("odds", "zs", lambda o, z: F.struct(o.alias("o"), (-z).alias("z"))))
+    told = weighed().withColumn("p_none", F.col("none") / F.col("all")).where(lost | (F.col("p_none") < 0.5))
+    chain = F.when(F.col("p_none") < 0.5, -best["z"]).otherwise(len(CHAINS))  # the latter: read with losses, the bytes are gone
+    found = told.select(*who, "text", "n", chain.alias("chain"), F.when(lost, 0.0).otherwise(F.col("p_none")).alias("p_none"))
+    return found.mapInArrow(repairing, "field_name string, source string, text string, fixed string, chain int, p_none double")
 
 
 def text_rows(links: DataFrame, records: DataFrame) -> DataFrame:

@@ -193,6 +193,16 @@ def test_a_hot_garbled_text_is_found(spark):
         assert {r.row_id for r in got} == {r[1] for r in hot} and {r.fixed for r in got} == {"Bücher Zubehör"}, sources
 
 
+def test_weak_cases_of_a_garbled_source(spark):
+    """Texts whose gain alone is too small are garbled in a source that is garbled throughout, and only there."""
+    schema = "field_name string, row_id long, list_pos int, source string, text string"
+    clean = [("f", i, -1, f"s{i % 50}", t) for i, t in enumerate(texts(3000, 1))]
+    weak = [(20_000 + 2 * i + j, f"{t} {i}") for i in range(30) for j, t in enumerate(("année", "größer"))]  # gains of 2.7 here
+    rows = [("f", i, -1, "bad", t.encode().decode("cp1252")) for i, t in weak]
+    got = {r.row_id: r.fixed for r in garbled.garbled_rows(spark.createDataFrame(clean + rows, schema)).collect()}
+    assert got == dict(weak)
+
+
 @pytest.mark.parametrize("chain", [c for c in garbled.CHAINS if c])
 def test_chains_undo(chain):
     text = "año été 1"
