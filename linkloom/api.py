@@ -19,8 +19,8 @@ def _cursor(text: str) -> tuple[int, str] | None:
 
 
 def key_of_address(spark: SparkSession, url: str) -> str | None:
-    """Index key of an address, None if it is no valid page address."""
-    return urls.keyed(spark.createDataFrame([(url,)], "url string"), "url").first()["uri"]
+    """Index key of an address, None if it is no valid page address. Constants only: the optimizer folds it on the driver, no task runs."""
+    return urls.keyed(spark.sql("SELECT :url AS url", args={"url": url}), "url").first()["uri"]
 
 
 def _addressed(rows) -> list[dict]:

@@ -2,8 +2,8 @@
 
 A key is `revDomain>revSubdomain>(o|s)[port]>path`: it sorts by domain, and two
 addresses of one page have one key. Keys and parsed addresses are structs and
-strings built by Catalyst expressions only; the registrable domain needs the
-public suffix list, which is joined on distinct hosts (`with_domains`).
+strings built by Catalyst expressions only, the registrable domain by a hashed
+set of public suffixes inside the expression (`domain_sql`).
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -129,42 +128,32 @@ def _rules() -> tuple[tuple[str, str], ...]:
     return tuple(out)
 
 
-def suffix_rules(spark: SparkSession) -> DataFrame:
-    """(suffix, kinds): the public suffix list that Spark's own libraries carry; about ten thousand rows."""
-    kinds: dict[str, list[str]] = {}
-    for kind, suffix in _rules():
-        kinds.setdefault(suffix, []).append(kind)
-    return spark.createDataFrame(pa.table({"suffix": list(kinds), "kinds": list(kinds.values())}))
+def _quoted(words) -> str:
+    return ", ".join("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in sorted(words)) or "NULL"
 
 
-def host_domains(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
-    """(host, domain) of distinct hosts; hosts without registrable domain are left out.
+def domain_sql(host: str, suffixes: DataFrame | None = None) -> str:
+    """SQL of the registrable domain of a host expression, null where it has none.
 
-    Every tail of a host is looked up in the broadcast list (fixed size); the longest hit decides.
+    Every tail of the host is looked up in the public suffix list that Spark's own
+    libraries carry; the longest hit decides. The list is a hashed set inside the
+    expression (about ten thousand words, whatever the data), so a lookup is narrow:
+    no join, no shuffle by host, and it works on hosts inside arrays.
     suffixes: own rules as (kind, suffix), kind being exact, under or excluded.
     """
-    spark = hosts.sparkSession
-    rules = F.broadcast(suffix_rules(spark) if suffixes is None else suffixes.groupBy("suffix").agg(F.collect_set("kind").alias("kinds")))
-    plain = F.regexp_replace("host", r"\.$", "")
-    # the partition number keeps later filters above this projection, so that a host computed from an address is computed once
-    once = hosts.select("host", F.spark_partition_id().alias("part")).groupBy("host").agg(F.max("part").alias("part")).where("part >= 0 and host is not null")
-    labels = once.select("host", F.split(plain, r"\.").alias("labels"))
-    tails = labels.where(~is_ip(F.col("host"))).select("host", "labels", F.explode(F.sequence(F.lit(0), F.size("labels") - 1)).alias("i"))
-    tails = tails.withColumn("tail", F.array_join(F.slice("labels", F.col("i") + 1, F.size("labels")), "."))
-    tails = tails.withColumn("parent", F.when(F.col("tail").contains("."), F.regexp_replace("tail", r"^[^.]*\.", "")))
-    hit = tails.join(rules.select(F.col("suffix").alias("tail"), F.col("kinds").alias("k")), "tail", "left").join(rules.select(F.col("suffix").alias("parent"), F.col("kinds").alias("pk")), "parent", "left")
-    at = F.when(F.array_contains("k", "exact"), F.col("i")).when(F.array_contains("k", "excluded"), F.col("i") + 1).when(F.array_contains("pk", "under"), F.col("i"))
-    first = hit.where(at.isNotNull()).groupBy("host").agg(F.min_by(F.struct(at.alias("at"), "labels"), "i").alias("b")).where("b.at > 0")
-    return first.select("host", F.array_join(F.slice("b.labels", F.col("b.at"), F.size("b.labels")), ".").alias("domain"))
+    rules = _rules() if suffixes is None else [tuple(r) for r in suffixes.select("kind", "suffix").collect()]
+    exact, under, excluded = (_quoted({s for k, s in rules if k == kind}) for kind in ("exact", "under", "excluded"))
+    tail = lambda i: f"array_join(slice(ls, {i}, greatest(size(ls) - ({i}) + 1, 0)), '.')"
+    hit = f"transform(transform(sequence(1, size(ls)), i -> struct(i, {tail('i')} AS t, {tail('i + 1')} AS p)), x -> CASE WHEN x.t IN ({exact}) THEN x.i - 1 WHEN x.t IN ({excluded}) THEN x.i WHEN x.p IN ({under}) THEN x.i - 1 END)"
+    whole = f"transform(array(get(array_compact({hit}), 0)), at -> CASE WHEN at > 0 THEN {tail('at')} END)[0]"
+    return f"transform(array(split(regexp_replace({host}, '[.]$', ''), '[.]')), ls -> {whole})[0]"
 
 
 def with_domains(df: DataFrame, url: str = "u", suffixes: DataFrame | None = None) -> DataFrame:
-    """Adds `domain`; the split address becomes null where its host has none. One lookup per distinct host."""
-    host = F.col(url)["host"]
-    found = host_domains(df.select(host.alias("host")), suffixes).withColumnRenamed("host", "_h").withColumnRenamed("domain", "_d")
-    out = df.join(found, host == F.col("_h"), "left")
-    domain = F.when(F.col(url)["ip_host"], host).otherwise(F.col("_d"))
-    return out.withColumn("domain", domain).withColumn(url, F.when(F.col("domain").isNotNull(), F.col(url))).drop("_h", "_d")
+    """Adds `domain`; the split address becomes null where its host has none."""
+    u = F.col(url)
+    out = df.withColumn("domain", F.when(u["ip_host"], u["host"]).otherwise(F.expr(domain_sql(f"{url}.host", suffixes))))
+    return out.withColumn(url, F.when(F.col("domain").isNotNull(), u))
 
 
 def keyed(df: DataFrame, raw: str, out: str = "uri", suffixes: DataFrame | None = None) -> DataFrame:

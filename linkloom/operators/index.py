@@ -11,15 +11,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.urls import domain_of_key, json_escaped, rev_encode
+from ..functions.urls import bound, domain_of_key, json_escaped, rev_encode
 
 
 def distinct_links(links: Column) -> Column:
-    """Links with a key, once per key (the first one), in key order."""
-    keyed = F.filter(links, lambda x: x["uri"].isNotNull())
-    uris = F.transform(keyed, lambda x: x["uri"])
-    once = F.filter(F.arrays_zip(keyed.alias("l"), F.transform(uris, lambda u, i: (F.array_position(uris, u) == i + 1)).alias("first")), lambda z: z["first"])
-    return F.array_sort(F.transform(once, lambda z: F.struct(z["l"]["uri"].alias("uri"), z["l"]["url"].alias("url"), z["l"]["anchor_text"].alias("anchor_text"))))
+    """Links with a key, once per key (the first one), in key order: sorted by key and place, then the first of each run."""
+    placed = F.transform(links, lambda x, i: F.struct(x["uri"].alias("uri"), i.alias("i"), x["url"].alias("url"), x["anchor_text"].alias("anchor_text")))
+    runs = F.array_sort(F.filter(placed, lambda x: x["uri"].isNotNull()))
+    once = bound(runs, lambda s: F.filter(s, lambda x, i: (i == 0) | (x["uri"] != F.get(s, i - 1)["uri"])))
+    return F.transform(once, lambda x: F.struct(x["uri"].alias("uri"), x["url"].alias("url"), x["anchor_text"].alias("anchor_text")))
 
 
 def page_table(pages: DataFrame, keep_linkless: bool = False) -> DataFrame:
@@ -65,20 +65,54 @@ def page_json(pages: DataFrame) -> DataFrame:
     return pages.where("num_outbound > 0").select("uri", json_escaped(F.to_json(doc)).alias("json"))
 
 
+def _score_cells(uri: Column, n: Column) -> list[Column]:
+    """The three cells of a page's score."""
+    order = rev_encode(n)
+    of = lambda row, cf, cq: F.struct(row.alias("row"), F.lit(cf).alias("cf"), F.lit(cq).alias("cq"), n.cast("string").alias("value"))
+    return [
+        of(F.concat(F.lit("t:"), order, F.lit(":"), uri), "", ""),
+        of(F.concat(F.lit("d:"), domain_of_key(uri), F.lit(":"), order, F.lit(":"), uri), "rank", ""),
+        of(F.concat(F.lit("p:"), uri), "page", "incount"),
+    ]
+
+
+def _page_cell(pages: DataFrame) -> DataFrame:
+    return page_json(pages).select(F.concat(F.lit("p:"), "uri").alias("row"), F.lit("page").alias("cf"), F.lit("cur").alias("cq"), F.col("json").alias("value"))
+
+
+def _inlink_cells(edges_: DataFrame, *more: str) -> DataFrame:
+    return edges_.select(*more, F.concat(F.lit("p:"), "dst").alias("row"), F.lit("inlinks").alias("cf"), F.col("src").alias("cq"), F.col("anchor").alias("value"))
+
+
 def cells(pages: DataFrame, info: DataFrame, domains: DataFrame) -> DataFrame:
     """The index as cells (row, cf, cq, value) of a sorted key-value store."""
-    page = page_json(pages).select(F.concat(F.lit("p:"), "uri").alias("row"), F.lit("page").alias("cf"), F.lit("cur").alias("cq"), F.col("json").alias("value"))
-    inlinks = edges(pages).select(F.concat(F.lit("p:"), "dst").alias("row"), F.lit("inlinks").alias("cf"), F.col("src").alias("cq"), F.col("anchor").alias("value"))
-    n = F.col("links_to").cast("string")
-    order = rev_encode(F.col("links_to"))
-    of = lambda row, cf, cq: F.struct(row.alias("row"), F.lit(cf).alias("cf"), F.lit(cq).alias("cq"), n.alias("value"))
-    scores = info.select(F.inline(F.array(
-        of(F.concat(F.lit("t:"), order, F.lit(":"), F.col("uri")), "", ""),
-        of(F.concat(F.lit("d:"), domain_of_key(F.col("uri")), F.lit(":"), order, F.lit(":"), F.col("uri")), "rank", ""),
-        of(F.concat(F.lit("p:"), F.col("uri")), "page", "incount"),
-    )))
+    scores = info.select(F.inline(F.array(*_score_cells(F.col("uri"), F.col("links_to")))))
     count = domains.select(F.concat(F.lit("d:"), "domain").alias("row"), F.lit("domain").alias("cf"), F.lit("pagecount").alias("cq"), F.col("pagecount").cast("string").alias("value"))
-    return page.unionByName(inlinks).unionByName(scores).unionByName(count)
+    return _page_cell(pages).unionByName(_inlink_cells(edges(pages))).unionByName(scores).unionByName(count)
+
+
+def mutations(touched: DataFrame, edge_changes: DataFrame, infos: DataFrame, domains: DataFrame) -> DataFrame:
+    """(op, row, cf, cq, value) that a batch of changes causes in the cells, from the changed rows alone.
+
+    touched: pages with links and gone; edge_changes: (dst, src, anchor, gone); infos: (uri, links_to, docs
+    before, dl, dd); domains: (domain, was, delta).
+    """
+    put, delete = F.lit("put").alias("op"), F.lit("delete").alias("op")
+    pages = _page_cell(touched.where("not gone").withColumn("num_outbound", F.size("links").cast("bigint"))).select(put, "*")
+    no_page = touched.where("gone or size(links) = 0").select(delete, F.concat(F.lit("p:"), "uri").alias("row"), F.lit("page").alias("cf"), F.lit("cur").alias("cq"), F.lit(None).cast("string").alias("value"))
+    inlinks = _inlink_cells(edge_changes.withColumn("op", F.when(F.col("gone"), "delete").otherwise("put")), "op")
+    n0, n1 = F.col("links_to"), F.coalesce("links_to", F.lit(0)) + F.col("dl")
+    lives = (n1 != 0) | (F.coalesce("docs", F.lit(0)) + F.col("dd") != 0)
+    moved = infos.where(n0.isNotNull() & (~lives | (F.col("dl") != 0)))
+    # the two rank cells move when the score changes; the score of the page is overwritten or removed
+    old = moved.select(lives.alias("lives"), F.inline(F.array(*_score_cells(F.col("uri"), n0)))).where("cf <> 'page' or not lives").select(delete, "row", "cf", "cq", "value")
+    new = infos.where(lives & (n0.isNull() | (F.col("dl") != 0))).select(put, F.inline(F.array(*_score_cells(F.col("uri"), n1))))
+    now = F.col("was") + F.col("delta")
+    count = domains.select(F.when(now == 0, "delete").otherwise("put").alias("op"), F.concat(F.lit("d:"), "domain").alias("row"), F.lit("domain").alias("cf"), F.lit("pagecount").alias("cq"), now.cast("string").alias("value"))
+    out = pages
+    for more in (no_page, inlinks, old, new, count):
+        out = out.unionByName(more)
+    return out.withColumn("value", F.when(F.col("op") == "put", F.col("value")))
 
 
 def cell_changes(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -90,7 +124,7 @@ def cell_changes(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def split_points(cells_: DataFrame, n: int = 100, width: int = 29, seed: int = 7) -> DataFrame:
-    """Row prefixes of a random sample, sorted: where to cut a table into ranges."""
+    """Row prefixes of n random rows, sorted: where to cut a table into ranges. One pass that keeps n rows per task; nothing is sorted globally."""
     return cells_.select(F.substring("row", 1, width).alias("split"), F.rand(seed).alias("r")).orderBy("r").limit(n).select("split").distinct().orderBy("split")
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+import json
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..store import Files
 from ..streaming import incremental
 
 
@@ -30,3 +33,18 @@ def update_meters(tables: dict[str, DataFrame], updates: DataFrame, order: list[
     for p in parts[1:]:  # each is a single row
         out = out.join(F.broadcast(p.withColumn("one", F.lit(1))), "one")
     return out.drop("one")
+
+
+class MeterLog:
+    """Sink of the stream's meters: one JSON line per batch, in a file of its own below a folder of any Hadoop file system."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.files = Files(spark, folder)
+
+    def __call__(self, batch: int, meters: dict) -> None:
+        name = f"{batch:012d}.json"
+        if name not in self.files.names(""):
+            self.files.write(name, json.dumps({"batch": batch, **meters}))
+
+    def rows(self) -> list[dict]:
+        return [json.loads(self.files.read(n)) for n in self.files.names("") if n.endswith(".json")]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.urls import key_of, address_of, split_url, host_domains
+from ..functions.urls import address_of, domain_sql, key_of, split_url
 from . import variants
 
 # The content type of records and the place of anchors in a page.
@@ -37,27 +37,28 @@ def raw_pages(records: DataFrame, exact: bool = False) -> DataFrame:
     pick = lambda x, i: F.struct(i.alias("pos"), variants.text_at(x, "url").alias("url"), F.coalesce(variants.text_at(x, "text"), variants.text_at(x, "title"), F.lit("")).alias("anchor_text"), variants.text_at(x, "path").alias("path"))
     found = F.filter(F.transform(F.coalesce(links, F.array().cast("array<variant>")), pick), lambda z: (z["path"] == ANCHOR_PATH) & z["url"].isNotNull())
     found = F.when(F.col("content_type") == CONTENT_TYPE, found)
-    docs = records.where(ok).select("record_no", "target_uri", "warc_date", "content_type", variants.parsed(F.col("body")).alias("doc")).where("doc is not null")
+    key = [c for c in ("record_no",) if c in records.columns]
+    docs = variants.readable(records).where(ok).select(*key, "target_uri", "warc_date", "content_type", variants.parsed(F.col("body")).alias("doc")).where("doc is not null")
     response = ("Envelope", "Payload-Metadata", "HTTP-Response-Metadata")
     return docs.select(
-        "record_no", F.col("target_uri").alias("url"), F.col("warc_date").alias("crawl_date"),
+        *key, F.col("target_uri").alias("url"), F.col("warc_date").alias("crawl_date"),
         variants.text_at(d, *response, "Headers", "Server").alias("server"), variants.text_at(d, *variants.HTML, "Head", "Title").alias("title"),
         F.coalesce(found, F.array().cast("array<struct<pos:int,url:string,anchor_text:string,path:string>>")).alias("raw_links"),
     )
 
 
 def pages(records: DataFrame, suffixes: DataFrame | None = None, exact: bool = False) -> DataFrame:
-    """Pages in the page schema. Links to the page's own domain and invalid links are dropped, relative ones not resolved."""
-    raw = raw_pages(records, exact).withColumn("u", split_url(F.col("url"))).where("u is not null")
-    exploded = raw.select("record_no", F.explode_outer("raw_links").alias("l")).select("record_no", "l.pos", "l.anchor_text", split_url(F.col("l.url")).alias("v")).where("v is not null")
-    hosts = raw.select("u.host").unionByName(exploded.select("v.host")).distinct()
-    domains = host_domains(hosts, suffixes)
-    named = lambda df, c, out: df.join(domains.select(F.col("host").alias("_h"), F.col("domain").alias("_d")), F.col(c)["host"] == F.col("_h"), "left").withColumn(out, F.when(F.col(c)["ip_host"], F.col(c)["host"]).otherwise(F.col("_d"))).drop("_h", "_d").where(F.col(out).isNotNull())
-    heads = named(raw, "u", "domain").select("record_no", key_of(F.col("u"), F.col("domain")).alias("uri"), address_of(F.col("u")).alias("url"), "domain", "crawl_date", "server", "title")
-    links = named(exploded, "v", "d2").join(heads.select("record_no", "domain"), "record_no").where("d2 <> domain")
-    link = F.struct("pos", F.struct(address_of(F.col("v")).alias("url"), key_of(F.col("v"), F.col("d2")).alias("uri"), "anchor_text").alias("link"))
-    lists = links.groupBy("record_no").agg(F.transform(F.array_sort(F.collect_list(link)), lambda x: x["link"]).alias("outbound_links"))
-    empty = F.array().cast("array<struct<url:string,uri:string,anchor_text:string>>")
-    out = heads.join(lists, "record_no", "left").withColumn("outbound_links", F.coalesce("outbound_links", empty))
-    return out.select("url", "uri", F.size("outbound_links").cast("bigint").alias("num_outbound"), "crawl_date", "server", "title", "outbound_links", "record_no")
+    """Pages in the page schema (and record_no, where records have it). Links to the page's own domain and invalid links are dropped, relative ones not resolved.
 
+    One narrow stage: bodies are parsed once, links stay in their page's array.
+    """
+    raw = raw_pages(records, exact)
+    key = [c for c in ("record_no",) if c in raw.columns]
+    own = F.when(F.col("u.ip_host"), F.col("u.host")).otherwise(F.expr(domain_sql("u.host", suffixes)))
+    heads = raw.withColumn("u", split_url(F.col("url"))).where("u is not null").withColumn("domain", own).where("domain is not null")
+    split = F.filter(F.transform("raw_links", lambda x: F.struct(split_url(x["url"]).alias("v"), x["anchor_text"].alias("anchor_text"))), lambda x: x["v"].isNotNull())
+    named = F.expr(f"transform(split_links, x -> struct(x.v, x.anchor_text, CASE WHEN x.v.ip_host THEN x.v.host ELSE {domain_sql('x.v.host', suffixes)} END AS d))")
+    abroad = F.filter("named_links", lambda x: x["d"] != F.col("domain"))  # null domains fall away too
+    links = F.transform(abroad, lambda x: F.struct(address_of(x["v"]).alias("url"), key_of(x["v"], x["d"]).alias("uri"), x["anchor_text"].alias("anchor_text")))
+    out = heads.withColumn("split_links", split).withColumn("named_links", named).withColumn("outbound_links", links)
+    return out.select(address_of(F.col("u")).alias("url"), key_of(F.col("u"), F.col("domain")).alias("uri"), F.size("outbound_links").cast("bigint").alias("num_outbound"), "crawl_date", "server", "title", "outbound_links", *key)

@@ -1,11 +1,12 @@
 """What changed between full deliveries of a table.
 
-Each delivery becomes a narrow key-to-signature index (key, snapshot, 128-bit
-hash of the compared values). The index of the last delivery is probed with the
-rows of the next one; wide values are fetched only for keys whose signature
-differs, appears or vanishes; then the new index takes the old one's place.
-`changes` runs all neighbouring pairs in one plan, since the probes of different
-pairs are independent; `SnapshotStore` keeps the index between runs.
+Each delivery becomes a narrow key-to-signature index (key, 128-bit hash of the
+compared values), stored in buckets of the key. The index of the last delivery is
+probed with that of the next one, bucket by bucket, without moving either; wide
+values are fetched only for keys whose signature differs, appears or vanishes; then
+the new index takes the old one's place. `SnapshotStore` does one delivery at a
+time and keeps the index between runs; `changes` passes all deliveries of a table
+through such a store, in order.
 
 Defined results
 * rows with a null key or snapshot number: ignored
@@ -18,13 +19,14 @@ Defined results
 
 from __future__ import annotations
 
-import json
-import os
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..runtime import cut, if_small, shared_dir
+from ..store import Store
+
 
 def _signature(values: list[Column], salt: int) -> Column:
     # xxhash64 skips nulls, hence the null flags
@@ -42,99 +44,98 @@ def signed(df: DataFrame, key: str, snap: str, order: str, values: list[str], it
 
 
 def index_of(rows: DataFrame) -> DataFrame:
-    """One narrow row per key and delivery; the combine step runs before the shuffle."""
+    """One narrow row per key of a delivery; the combine step runs before the shuffle."""
     best = F.max(F.struct("at", "sig1", "sig2"))
-    return rows.groupBy("k", "snap").agg(best.alias("b")).select("k", "snap", "b.sig1", "b.sig2")
-
-
-def neighbours(df: DataFrame, snap: str) -> DataFrame:
-    """(snap, prev_snap): as many rows as deliveries."""
-    each = df.where(F.col(snap).isNotNull()).select(F.col(snap).alias("snap")).distinct()
-    return each.select("snap", F.lag("snap").over(W.orderBy("snap")).alias("prev_snap"))
+    return rows.groupBy("k").agg(best.alias("b")).select("k", "b.sig1", "b.sig2")
 
 
 def probe(last: DataFrame, new: DataFrame) -> DataFrame:
-    """Keys that differ. last: (k, snap, prev_snap, sig1, sig2) with snap the delivery it is compared with; new: (k, snap, ...)."""
-    o = last.select("k", "snap", "prev_snap", F.col("sig1").alias("o1"), F.col("sig2").alias("o2"))
-    n = new.select("k", "snap", F.col("sig1").alias("n1"), F.col("sig2").alias("n2"))
+    """(k, change_kind, o1, o2, n1, n2) of the keys that differ. Both: (k, sig1, sig2)."""
+    o = last.select("k", F.col("sig1").alias("o1"), F.col("sig2").alias("o2"))
+    n = new.select("k", F.col("sig1").alias("n1"), F.col("sig2").alias("n2"))
     kind = F.when(F.col("o1").isNull(), "added").when(F.col("n1").isNull(), "removed").otherwise("changed")
     differs = ~(F.col("o1").eqNullSafe(F.col("n1")) & F.col("o2").eqNullSafe(F.col("n2")))
-    return n.join(o, ["k", "snap"], "full_outer").where(differs).select("k", "snap", "prev_snap", kind.alias("change_kind"), "o1", "o2", "n1", "n2")
-
-
-def _item_changes(changed: DataFrame, rows: DataFrame) -> DataFrame:
-    """Fetch the lists of the changed keys only and compare them element by element."""
-    wanted = changed.select("k", F.col("snap").alias("of"), F.inline(F.array(
-        F.struct(F.lit(1).alias("side"), F.col("prev_snap").alias("snap"), F.col("o1").alias("sig1"), F.col("o2").alias("sig2")),
-        F.struct(F.lit(2).alias("side"), F.col("snap"), F.col("n1").alias("sig1"), F.col("n2").alias("sig2")),
-    ))).where("sig1 is not null")
-    got = rows.select("k", "snap", "sig1", "sig2", "items").join(wanted, ["k", "snap", "sig1", "sig2"])
-    side = lambda n: F.coalesce(F.first(F.when(F.col("side") == n, F.col("items")), ignorenulls=True), F.array().cast("array<string>"))
-    pair = got.groupBy("k", "of").agg(side(1).alias("old"), side(2).alias("new"))
+    return n.join(o, "k", "full_outer").where(differs).select("k", kind.alias("change_kind"), "o1", "o2", "n1", "n2")
+
+
+def _item_changes(changed: DataFrame, old: DataFrame, new: DataFrame) -> DataFrame:
+    """(k, item, change_kind): the lists of the changed keys only, compared element by element. changed is filtered into both reads before their rows move."""
+    wanted = lambda a, b: if_small(changed.where(f"{a} is not null").select("k", F.col(a).alias("sig1"), F.col(b).alias("sig2")))
+    side = lambda rows, a, b, n: rows.join(wanted(a, b), ["k", "sig1", "sig2"], "left_semi").select("k", F.lit(n).alias("side"), "items")
+    of = lambda n: F.coalesce(F.first(F.when(F.col("side") == n, F.col("items")), ignorenulls=True), F.array().cast("array<string>"))
+    pair = side(old, "o1", "o2", 1).unionByName(side(new, "n1", "n2", 2)).groupBy("k").agg(of(1).alias("old"), of(2).alias("new"))
     tag = lambda c, kind: F.transform(c, lambda x: F.struct(x.alias("item"), F.lit(kind).alias("change_kind")))
-    both = F.concat(tag(F.array_except("new", "old"), "added"), tag(F.array_except("old", "new"), "removed"))
-    return pair.select("k", F.col("of").alias("snap"), F.inline(both))
-
-
-def changes(df: DataFrame, key: str, snap: str, order: str, values: list[str], items: Column) -> DataFrame:
-    """(snap, k, item, change_kind) of every neighbouring pair; item '' is the row itself."""
-    rows = signed(df, key, snap, order, values, items)
-    index = index_of(rows)
-    near = F.broadcast(neighbours(df, snap))  # one row per delivery
-    follows = near.where("prev_snap is not null")
-    last = index.withColumnRenamed("snap", "prev_snap").join(follows, "prev_snap")
-    new = index.join(follows.select("snap"), "snap", "left_semi")
-    old = last.select("k", "snap", "prev_snap", "sig1", "sig2")
-    changed = probe(old, new)
-    changed = changed.drop("prev_snap").join(follows, "snap")
-    page = changed.select("snap", "k", F.lit("").alias("item"), "change_kind")
-    return page.unionByName(_item_changes(changed, rows).select("snap", "k", "item", "change_kind"))
-
-
-def page_changes(snapshots: DataFrame) -> DataFrame:
-    """Pages and links added, removed or changed, for each delivery but the first."""
-    out = changes(snapshots, "uri", "snap_no", "crawl_date", ["title", "server"], F.transform("outbound_links", lambda x: x["uri"]))
-    return out.select(F.col("snap").alias("snap_no"), F.col("k").alias("page_uri"), F.col("item").alias("link_uri"), "change_kind")
+    return pair.select("k", F.inline(F.concat(tag(F.array_except("new", "old"), "added"), tag(F.array_except("old", "new"), "removed"))))
 
 
 class SnapshotStore:
-    """The index and values of the last delivery, kept as bucketed tables in a folder.
+    """Deliveries of one table, the bucketed key-to-signature index of the last one, and the changes found.
 
-    `advance` compares one delivery with the last and then swaps the pointer, so a
-    failed run leaves the previous state valid and a repeated one changes nothing.
+    receive   writes the signed rows of a delivery, as they come, into a folder of its own (nothing is shuffled)
+    advance   builds its index (narrow rows, bucketed), probes it with the last one bucket by bucket, fetches
+              the lists of changed keys, writes the changes, and then swaps the pointer to the new index
+
+    A run that fails leaves the last index valid and is repeated whole; a delivery that was
+    already passed changes nothing, and its changes can still be read. Rows of deliveries
+    that no index needs any more are removed.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, buckets: int = 16):
-        self.spark, self.folder, self.buckets = spark, folder, buckets
-
-    def _pointer(self) -> str:
-        return os.path.join(self.folder, "CURRENT.json")
-
-    def current(self) -> dict | None:
-        try:
-            with open(self._pointer()) as f:
-                return json.load(f)
-        except FileNotFoundError:
-            return None
-
-    def advance(self, delivery: DataFrame, snap_no: int) -> DataFrame | None:
-        """Changes of this delivery against the last one; None for the first or a repeated one."""
-        rows = signed(delivery.withColumn("snap_no", F.lit(snap_no)), "uri", "snap_no", "crawl_date", ["title", "server"], F.transform("outbound_links", lambda x: x["uri"]))
-        state, path = self.current(), os.path.join(self.folder, f"s{snap_no}")
-        if state and state["snap"] >= snap_no:
-            return None
-        bucket = F.pmod(F.xxhash64("k"), F.lit(self.buckets)).alias("bucket")
-        index = index_of(rows)
-        rows.join(index, ["k", "snap", "sig1", "sig2"], "left_semi").select("*", bucket).repartition(self.buckets, "bucket").sortWithinPartitions("k").write.mode("overwrite").parquet(path)
-        out = None
-        if state:
-            a, b = self.spark.read.parquet(state["path"]), self.spark.read.parquet(path)
-            last = a.select("k", F.lit(snap_no).alias("snap"), F.col("snap").alias("prev_snap"), "sig1", "sig2").distinct()
-            changed = probe(last, b.select("k", "snap", "sig1", "sig2").distinct()).withColumn("prev_snap", F.lit(state["snap"]))
-            page = changed.select("snap", "k", F.lit("").alias("item"), "change_kind")
-            out = page.unionByName(_item_changes(changed, a.unionByName(b)).select("snap", "k", "item", "change_kind"))
-        swap = self._pointer() + ".new"
-        with open(swap, "w") as f:
-            json.dump({"snap": snap_no, "path": path}, f)
-        os.replace(swap, self._pointer())
-        return out
+    def __init__(self, spark: SparkSession, folder: str, key: str, order: str, values: list[str], items: Column, buckets: int = 16):
+        self.spark, self.key, self.order, self.values, self.items = spark, key, order, values, items
+        self.store = Store(spark, folder, buckets, keep=1)
+
+    def current(self) -> int | None:
+        """Number of the last delivery."""
+        state = self.store.state()
+        return state["snap"] if state else None
+
+    def receive(self, df: DataFrame, snap: str) -> list[int]:
+        """Takes one or several deliveries; returns their numbers in order."""
+        rows = signed(df, self.key, snap, self.order, self.values, self.items)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snap").parquet(f"{self.store.folder}/rows")
+        return sorted(int(n.split("=")[1]) for n in self.store.files.names("rows") if n.startswith("snap="))
+
+    def _rows(self, snap: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.store.folder}/rows/snap={snap}")
+
+    def advance(self, snap: int) -> bool:
+        """Compares a received delivery with the last one; false if it was passed before."""
+        last = self.current()
+        if last is not None and last >= snap:
+            if last > snap:
+                self.store.files.delete(f"rows/snap={snap}")
+            return False
+        new = self._rows(snap)
+        self.store.write(index_of(new), "index", snap, "k")
+        if last is not None:
+            index = lambda n: self.store.read("index", [n], "k")
+            changed = cut(probe(index(last), index(snap)))
+            page = changed.select("k", F.lit("").alias("item"), "change_kind")
+            page.unionByName(_item_changes(changed, self._rows(last), new)).write.mode("overwrite").parquet(f"{self.store.folder}/changes/snap={snap}")
+        self.store.commit({"snap": snap, "tables": {"index": [snap]}})
+        if last is not None:
+            self.store.files.delete(f"rows/snap={last}")
+        return True
+
+    def changes(self, snaps: list[int]) -> DataFrame:
+        """(snap, k, item, change_kind) found for these deliveries."""
+        paths = [f"{self.store.folder}/changes/snap={n}" for n in snaps if f"snap={n}" in self.store.files.names("changes")]
+        if not paths:
+            return self.spark.createDataFrame([], "k string, item string, change_kind string, snap int")
+        return self.spark.read.option("basePath", f"{self.store.folder}/changes").parquet(*paths)
+
+
+def changes(df: DataFrame, key: str, snap: str, order: str, values: list[str], items: Column, folder: str | None = None, buckets: int = 16) -> DataFrame:
+    """(snap, k, item, change_kind) of every neighbouring pair of deliveries in df, one delivery after the other; item '' is the row itself."""
+    spark = df.sparkSession
+    store = SnapshotStore(spark, folder or f"{shared_dir(spark)}/snapshots-{uuid.uuid4().hex}", key, order, values, items, buckets)
+    received = store.receive(df, snap)
+    for n in received:
+        store.advance(n)
+    return store.changes(received)
+
+
+def page_changes(snapshots: DataFrame, folder: str | None = None) -> DataFrame:
+    """Pages and links added, removed or changed, for each delivery but the first."""
+    out = changes(snapshots, "uri", "snap_no", "crawl_date", ["title", "server"], F.transform("outbound_links", lambda x: x["uri"]), folder)
+    return out.select(F.col("snap").cast("int").alias("snap_no"), F.col("k").alias("page_uri"), F.col("item").alias("link_uri"), "change_kind")

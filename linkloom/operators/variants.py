@@ -9,11 +9,12 @@ keeps the common keys (record, list, position) of every element.
 
 Defined results
 * null, empty or invalid bodies (also text after the document, or several documents): no rows
-* a body whose object repeats a key: invalid, no rows
+* a body whose object repeats a key: valid, the key's last value counts
 * a list given as a lone object: that object is element 0
 * any other value where a list is expected: no rows
-* elements that are no objects: counted in list_pos, routed to variant 'none'
-* absent or ill-typed fields of an element: null in the subtype table
+* elements that are no objects: counted in list_pos, routed to variant 'none'; their values are rows of `residuals`
+* absent or ill-typed fields of an element: null in the subtype table; ill-typed
+  and undeclared fields: rows of `residuals`, so no value is lost
 * extra input columns: ignored; a repeated record_no gives repeated rows
 """
 
@@ -111,9 +112,15 @@ def route(list_name: Column, v: Column) -> Column:
     return out.otherwise("open")
 
 
+def readable(records: DataFrame) -> DataFrame:
+    """records, in a session that reads objects with repeated keys (the last value counts) instead of refusing them."""
+    records.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return records
+
+
 def documents(records: DataFrame, key: str = "record_no", body: str = "body") -> DataFrame:
     """(key, doc): valid bodies as variants."""
-    return records.select(F.col(key), parsed(F.col(body)).alias("doc")).where("doc is not null")
+    return readable(records).select(F.col(key), parsed(F.col(body)).alias("doc")).where("doc is not null")
 
 
 def elements(records: DataFrame, key: str = "record_no", body: str = "body", lists: dict[str, tuple[str, ...]] = LISTS) -> DataFrame:
@@ -146,6 +153,24 @@ def subtype(records: DataFrame, list_name: str, key: str = "record_no", body: st
     return typed.where("variant <> 'none'")
 
 
+def residuals(records: DataFrame, key: str = "record_no", body: str = "body") -> DataFrame:
+    """(key, list_name, list_pos, field, kind, value): what the typed tables can't hold.
+
+    Fields of object elements that are undeclared or no strings, by name; elements that
+    are no objects, with field null. value is JSON.
+    """
+    rows = elements(records, key, body).withColumnRenamed(key, "_k")
+    is_object = F.coalesce(F.schema_of_variant("item").startswith("OBJECT"), F.lit(False))
+    lone = rows.where(~is_object).select("_k", "list_name", "list_pos", F.lit(None).cast("string").alias("field"), F.col("item").alias("v"))
+    objects = rows.where(is_object)
+    each = objects.lateralJoin(objects.sparkSession.tvf.variant_explode(F.col("item").outer())).select("_k", "list_name", "list_pos", F.col("key").alias("field"), F.col("value").alias("v"))
+    typed = F.lit(False)
+    for name, cols in FIELDS.items():
+        typed = typed | ((F.col("list_name") == name) & F.col("field").isin(*cols.values()))
+    left = each.where(~(typed & (F.schema_of_variant("v") == "STRING")))
+    return lone.unionByName(left).select(F.col("_k").alias(key), "list_name", "list_pos", "field", state(F.col("v")).alias("kind"), F.to_json("v").alias("value"))
+
+
 def record_heads(records: DataFrame, key: str = "record_no", body: str = "body") -> DataFrame:
     """Parent table: one row per valid record with its envelope fields and the page head."""
     d = F.col("doc")

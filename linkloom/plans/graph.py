@@ -1,14 +1,13 @@
 """Queries of the link index over the driver's tables, with their SQL.
 
 The pages are the last delivery of page_snapshots; crawl records, fetches,
-updates and events stand for the other inputs.
+updates and events stand for the other inputs. Questions read a stored index, which
+is built once per application and folder of tables.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,48 +66,68 @@ def domain_rank_top25(spark, d):
     return index.ranked(uri_info(spark, d))
 
 
+def _store(spark: SparkSession, d: str, streamed: bool = False) -> incremental.IndexStore:
+    """The stored index of the tables in d; streamed: after the updates, which arrive as a stream of four files that know nothing of their order."""
+    name = hashlib.sha1(f"{spark.sparkContext.applicationId} {d}".encode()).hexdigest()
+    folder = f"{shared_dir(spark)}/index-{name}{'-streamed' if streamed else ''}"
+    store = incremental.IndexStore(spark, folder, cells=streamed, compact=3, buckets=8, ranges=8)
+    if store.state() is None:
+        store.bootstrap(_captures(spark, d))
+    if streamed and store.state()["batch"] == 0:
+        updates = table(spark, d, "page_updates")
+        updates.repartition(4, F.xxhash64("update_id")).write.mode("overwrite").parquet(f"{folder}/feed")
+        feed = spark.readStream.schema(updates.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/feed")
+        incremental.run_stream(feed, store, f"{folder}/checkpoint", ["ts", "update_id"], report=metrics.MeterLog(spark, f"{folder}/meters")).awaitTermination()
+    return store
+
+
+def _index(spark: SparkSession, d: str) -> LinkIndex:
+    store = _store(spark, d)
+    return LinkIndex(*(store.table(t) for t in ("pages", "edges", "uri_info", "domain_count")))
+
+
 def _first_domain(info: DataFrame) -> str:
     """Address form of the domain with most pages (smallest name among equals)."""
     return ".".join(reversed(index.domain_count(info).orderBy(F.desc("pagecount"), "domain").first()["domain"].split(".")))
 
 
 def domain_pages(spark, d):
-    ix = LinkIndex(*_tables(spark, d))
+    ix = _index(spark, d)
     return page_of(ix.domain_pages(_first_domain(ix.uri_info)))
 
 
 def domain_stats(spark, d):
-    ix = LinkIndex(*_tables(spark, d))
+    ix = _index(spark, d)
     return ix.domain_stats(_first_domain(ix.uri_info))
 
 
 def paging_offset(spark, d):
-    return page_of(uri_info(spark, d).select("uri", "links_to"), page_no=2)
+    return page_of(_index(spark, d).uri_info.select("uri", "links_to"), page_no=2)
 
 
 def paging_keyset(spark, d):
-    info = uri_info(spark, d).select("uri", "links_to")
+    info = _index(spark, d).uri_info.select("uri", "links_to")
     last = page_of(info, page_no=2).collect()[-1]
     return page_of(info, cursor=(last["links_to"], last["uri"]))
 
 
 def inlinks_of(spark, d):
-    p, e, info, n = _tables(spark, d)
-    return LinkIndex(p, e, info, n).links_in(index.top(info, 1).first()["uri"])
+    ix = _index(spark, d)
+    return ix.links_in(index.top(ix.uri_info, 1).first()["uri"])
 
 
 def _most_outbound(p: DataFrame) -> str:
-    return p.orderBy(F.desc("num_outbound"), "uri").first()["uri"]
+    return p.select("uri", "num_outbound").orderBy(F.desc("num_outbound"), "uri").first()["uri"]
 
 
 def outlinks_of(spark, d):
-    p, e, info, n = _tables(spark, d)
-    return LinkIndex(p, e, info, n).links_out(_most_outbound(p))
+    ix = _index(spark, d)
+    return ix.links_out(_most_outbound(ix.pages))
 
 
 def page_lookup(spark, d):
-    p, e, info, n = _tables(spark, d)
-    return LinkIndex(p, e, info, n).page(_most_outbound(p))
+    ix = _index(spark, d)
+    return ix.page(_most_outbound(ix.pages))
 
 
 def page_degrees(spark, d):
@@ -121,18 +140,23 @@ def index_statistics(spark, d):
 
 
 def page_json(spark, d):
-    return index.page_json(_pages(spark, d)).select("uri", F.length("json").cast("bigint").alias("n_chars"))
+    return index.page_json(_pages(spark, d))
 
 
 def index_cells(spark, d):
     p, _, info, n = _tables(spark, d)
-    return index.cells(p, info, n).where("not (cf = 'page' and cq = 'cur')")
+    return index.cells(p, info, n)
+
+
+def index_cells_sorted(spark, d):
+    """The first 1,000 cells in the store's order (a top-k report)."""
+    return index_cells(spark, d).orderBy("row", "cf", "cq").limit(1000)
 
 
 def cell_changes(spark, d):
     old, new = (incremental.build(x) for x in _two_snapshots(spark, d))
-    of = lambda t: index.cells(t["pages"], t["uri_info"], t["domain_count"]).where("cf in ('', 'rank', 'domain', 'inlinks')")
-    return index.cell_changes(of(old), of(new)).groupBy("op", "cf").agg(F.count("*").alias("n"))
+    of = lambda t: index.cells(t["pages"], t["uri_info"], t["domain_count"])
+    return index.cell_changes(of(old), of(new))
 
 
 def split_points(spark, d):
@@ -145,11 +169,11 @@ def rev_encode(spark, d):
 
 
 def rev_encode_order(spark, d):
-    """Neighbouring counts whose codes are not in strictly descending order: none."""
+    """Of each two neighbouring counts, whether their codes descend."""
     from pyspark.sql import Window as W
 
     w = W.partitionBy(F.lit(1)).orderBy("links_to")  # distinct counts only
-    return rev_encode(spark, d).select("links_to", "code", F.lag("code").over(w).alias("before")).where("before <= code").select("links_to")
+    return rev_encode(spark, d).select("links_to", (F.lag("code").over(w) > F.col("code")).alias("descends")).where("descends is not null")
 
 
 def _two_snapshots(spark, d):
@@ -199,17 +223,32 @@ def incremental_pages(spark, d):
 
 
 def streamed_uri_info(spark, d):
-    """The updates as a stream of files, folded batch by batch into a store; equals the batch result."""
-    base = shared_dir(spark)
-    local = base[7:] if base.startswith("file://") else base
-    if "://" in local:
-        local = tempfile.gettempdir()  # the pointer file of the store needs a mounted folder
-    folder = os.path.join(local, f"store-{uuid.uuid4().hex}")
-    store = incremental.IndexStore(spark, folder)
-    store.bootstrap(_captures(spark, d))
-    feed = spark.readStream.schema(table(spark, d, "page_updates").schema).parquet(f"{d}/page_updates.parquet*")
-    incremental.run_stream(feed, store, os.path.join(folder, "checkpoint"), ["ts", "update_id"]).awaitTermination()
-    return store.tables()["uri_info"]
+    """The updates as a stream of files out of order, folded batch by batch into a store; equals the batch result."""
+    return _store(spark, d, streamed=True).table("uri_info")
+
+
+def streamed_domain_count(spark, d):
+    return _store(spark, d, streamed=True).table("domain_count")
+
+
+def streamed_pages(spark, d):
+    return _store(spark, d, streamed=True).table("pages").drop("links")
+
+
+def streamed_edges(spark, d):
+    return _store(spark, d, streamed=True).table("edges")
+
+
+def streamed_cells(spark, d):
+    """The query table after all mutations that the stream exported."""
+    return _store(spark, d, streamed=True).cells()
+
+
+def stream_meters(spark, d):
+    """Counters of each micro-batch, as the stream logged them."""
+    _store(spark, d, streamed=True)
+    name = hashlib.sha1(f"{spark.sparkContext.applicationId} {d}".encode()).hexdigest()
+    return spark.read.json(f"{shared_dir(spark)}/index-{name}-streamed/meters").groupBy().agg(F.count("*").alias("batches"), F.sum("updates_in").cast("bigint").alias("updates_in"))
 
 
 def update_meters(spark, d):
@@ -236,9 +275,9 @@ def url_parse(spark, d):
 
 
 def url_roundtrip(spark, d):
-    """Keys that change when decoded to an address and encoded again: none."""
+    """Keys decoded to an address and encoded again."""
     again = urls.bound(urls.from_key(F.col("uri")), lambda u: urls.key_of(u, u["domain"]))
-    return table(spark, d, "uri_info").select("uri").distinct().where(~again.eqNullSafe(F.col("uri")))
+    return table(spark, d, "uri_info").select("uri").where("uri is not null").distinct().select("uri", again.alias("again"))
 
 
 def url_of_key(spark, d):
@@ -264,18 +303,24 @@ def record_pages(spark, d):
 
 
 def parsed_pages(spark, d):
-    return records.pages(table(spark, d, "wat_records")).select("record_no", "uri", "num_outbound", "server", "title")
+    return records.pages(table(spark, d, "wat_records")).drop("outbound_links")
+
+
+def parsed_links(spark, d):
+    """Links of the archive's pages in their order, with anchor texts."""
+    return records.pages(table(spark, d, "wat_records")).select("record_no", F.posexplode("outbound_links").alias("link_no", "l")).select("record_no", "link_no", "l.url", "l.uri", "l.anchor_text")
 
 
 def parsed_edges(spark, d):
     """Distinct cross-domain links of the archive's pages."""
-    return index.edges(index.page_table(records.pages(table(spark, d, "wat_records")))).select("src", "dst")
+    return index.edges(index.page_table(records.pages(table(spark, d, "wat_records"))))
 
 
 QUERIES = {f.__name__: f for f in (
     pages, pages_with_linkless, edges, edges_cross_domain, uri_info, domain_count, top_pages, domain_rank_top25, domain_pages, domain_stats, paging_offset, paging_keyset, inlinks_of, outlinks_of, page_lookup, page_degrees,
-    index_statistics, page_json, index_cells, cell_changes, split_points, rev_encode, rev_encode_order, link_added, link_deleted, uri_delta, domain_delta, incremental_pages, incremental_uri_info, incremental_domain_count, streamed_uri_info,
-    update_meters, record_pages_exact, metric_buckets, url_to_uri, url_parse, url_roundtrip, url_of_key, url_reverse_host, url_domain, url_is_image, record_pages, parsed_pages, parsed_edges,
+    index_statistics, page_json, index_cells, index_cells_sorted, cell_changes, split_points, rev_encode, rev_encode_order, link_added, link_deleted, uri_delta, domain_delta, incremental_pages, incremental_uri_info, incremental_domain_count,
+    streamed_uri_info, streamed_domain_count, streamed_pages, streamed_edges, streamed_cells, stream_meters,
+    update_meters, record_pages_exact, metric_buckets, url_to_uri, url_parse, url_roundtrip, url_of_key, url_reverse_host, url_domain, url_is_image, record_pages, parsed_pages, parsed_links, parsed_edges,
 )}
 
 # --- SQL -----------------------------------------------------------------------------------------
@@ -312,15 +357,68 @@ _CODE = """(SELECT string_agg(CASE x WHEN 0 THEN 'fefe' WHEN 1 THEN 'fefd' ELSE
  FROM (SELECT unnest(xs) AS x, generate_subscripts(xs, 1) AS i FROM (SELECT list_concat([ceil(length(CASE WHEN {n} = 0 THEN '' ELSE to_hex({n}) END) / 2.0)::INT], list_transform(range(0, ceil(length(CASE WHEN {n} = 0 THEN '' ELSE to_hex({n}) END) / 2.0)::INT), lambda k: (({n} >> (8 * (ceil(length(to_hex({n})) / 2.0)::INT - 1 - k)::INT)) & 255)::INT)) AS xs)))"""
 _CODED = "coded AS (SELECT links_to, " + _CODE.format(n="links_to") + " AS code FROM (SELECT DISTINCT links_to FROM {t} WHERE links_to IS NOT NULL))"
 _BIG = "(SELECT domain FROM dom ORDER BY pagecount DESC, domain LIMIT 1)"
-_FINAL = _BASE + """, lastu AS (SELECT uri, op, page FROM (SELECT *, row_number() OVER (PARTITION BY uri ORDER BY ts DESC, update_id DESC) AS rn FROM page_updates WHERE uri IS NOT NULL AND (op = 'D' OR page IS NOT NULL)) WHERE rn = 1),
-upd AS (SELECT uri, CASE WHEN op <> 'D' THEN coalesce(""" + _once("page.outbound_links") + """, []) ELSE [] END AS links, page.server AS server, page.title AS title FROM lastu),
+_FINAL = _BASE + """, lastu AS (SELECT uri, op, page FROM (SELECT *, row_number() OVER (PARTITION BY uri ORDER BY ts DESC, update_id DESC) AS rn FROM page_updates WHERE uri IS NOT NULL AND (op = 'D' OR (page IS NOT NULL AND (page.url IS NOT NULL OR len(page.outbound_links) > 0)))) WHERE rn = 1),
+upd AS (SELECT uri, page.url AS url, page.crawl_date AS crawl_date, CASE WHEN op <> 'D' THEN coalesce(""" + _once("page.outbound_links") + """, []) ELSE [] END AS links, page.server AS server, page.title AS title FROM lastu),
 touched AS (SELECT u.uri, coalesce(o.links, []) AS ol, u.links AS nl, o.uri IS NOT NULL AS was, len(u.links) > 0 AS now FROM upd u LEFT JOIN p o ON o.uri = u.uri WHERE o.uri IS NOT NULL OR len(u.links) > 0),
-p2 AS (SELECT uri, links, len(links)::BIGINT AS num_outbound, server, title FROM upd WHERE len(links) > 0 UNION ALL SELECT uri, links, num_outbound, server, title FROM p WHERE uri NOT IN (SELECT uri FROM upd)),
+p2 AS (SELECT uri, url, crawl_date, links, len(links)::BIGINT AS num_outbound, server, title FROM upd WHERE len(links) > 0 UNION ALL SELECT uri, url, crawl_date, links, num_outbound, server, title FROM p WHERE uri NOT IN (SELECT uri FROM upd)),
 info2 AS (""" + _info("p2") + """),
 ou AS (SELECT DISTINCT uri AS src, unnest(ol).uri AS dst FROM touched), nu AS (SELECT DISTINCT uri AS src, unnest(nl).uri AS dst FROM touched),
 added AS (SELECT * FROM nu EXCEPT SELECT * FROM ou), deleted AS (SELECT * FROM ou EXCEPT SELECT * FROM nu),
 delta AS (SELECT uri, sum(l)::BIGINT AS links_to, sum(d)::BIGINT AS docs FROM (SELECT dst AS uri, 1 AS l, 0 AS d FROM added UNION ALL SELECT dst, -1, 0 FROM deleted UNION ALL SELECT uri, 0, now::INT - was::INT FROM touched) GROUP BY uri HAVING sum(l) <> 0 OR sum(d) <> 0)
 """
+_E2 = """e2 AS (SELECT uri AS src, l.uri AS dst, coalesce(l.anchor_text, '') AS anchor FROM (SELECT uri, unnest(links) AS l FROM p2)),
+dom2 AS (SELECT split_part(uri, '>', 1) AS domain, count(*)::BIGINT AS pagecount FROM info2 GROUP BY 1)"""
+
+
+def _member(name: str, x: str, first: bool = False) -> str:
+    comma = "" if first else ","
+    return f"""coalesce('{comma}"{name}":' || to_json({x})::VARCHAR, '')"""
+
+
+def _json_of(x: str) -> str:
+    for c, code in (("<", "003c"), (">", "003e"), ("&", "0026"), ("=", "003d"), ("\'\'", "0027")):
+        x = f"replace({x}, '{c}', '\\u{code}')"
+    return x
+
+
+_PAGE_JSON = _json_of(
+    "'{' || " + _member("url", "url", True) + " || " + _member("uri", "uri") + " || " + _member("numOutbound", "num_outbound") + " || " + _member("crawlDate", "crawl_date") + " || " + _member("server", "server") + " || " + _member("title", "title")
+    + """ || ',"outboundLinks":[' || array_to_string(list_transform(links, lambda l: '{' || """ + _member("url", "l.url", True) + " || " + _member("uri", "l.uri") + " || " + _member("anchorText", "coalesce(l.anchor_text, '')") + """ || '}'), ',') || ']}'"""
+)
+
+
+def _cells_sql(p: str = "p", e: str = "e", info: str = "info", dom: str = "dom", coded: str = "coded") -> str:
+    return f"""SELECT 'p:' || uri AS row, 'page' AS cf, 'cur' AS cq, {_PAGE_JSON} AS value FROM {p} WHERE num_outbound > 0
+UNION ALL SELECT 'p:' || dst, 'inlinks', src, anchor FROM {e}
+UNION ALL SELECT 't:' || code || ':' || uri, '', '', i.links_to::VARCHAR FROM {info} i JOIN {coded} c ON c.links_to = i.links_to
+UNION ALL SELECT 'd:' || split_part(uri, '>', 1) || ':' || code || ':' || uri, 'rank', '', i.links_to::VARCHAR FROM {info} i JOIN {coded} c ON c.links_to = i.links_to
+UNION ALL SELECT 'p:' || uri, 'page', 'incount', links_to::VARCHAR FROM {info}
+UNION ALL SELECT 'd:' || domain, 'domain', 'pagecount', pagecount::VARCHAR FROM {dom}"""
+
+
+def _side(prefix: str, rank: int) -> str:
+    """Tables of the newest delivery but `rank`."""
+    x = prefix
+    return f"""{x}src AS (SELECT * FROM page_snapshots WHERE snap_no = (SELECT DISTINCT snap_no FROM page_snapshots ORDER BY snap_no DESC LIMIT 1 OFFSET {rank})), {_page_ctes(x + "src", x)},
+{x}p AS (SELECT * FROM {x}allp WHERE num_outbound > 0), {x}e AS (SELECT uri AS src, l.uri AS dst, coalesce(l.anchor_text, '') AS anchor FROM (SELECT uri, unnest(links) AS l FROM {x}p)),
+{x}info AS ({_info(x + "p")}), {x}dom AS (SELECT split_part(uri, '>', 1) AS domain, count(*)::BIGINT AS pagecount FROM {x}info GROUP BY 1), {_CODED.replace("coded AS", x + "coded AS").replace("{t}", x + "info")},
+{x}cells AS ({_cells_sql(x + "p", x + "e", x + "info", x + "dom", x + "coded")})"""
+
+
+# host -> registrable domain, learned from the keys that the tables already hold
+_HOSTS = """hosts AS (SELECT DISTINCT rev, sub, CASE WHEN sub = '' AND regexp_matches(rev, '^[0-9.]+$') THEN rev ELSE array_to_string(list_reverse(string_split(rev || sub, '.')), '.') END AS host FROM (
+  SELECT split_part(uri, '>', 1) AS rev, split_part(uri, '>', 2) AS sub FROM (SELECT src_uri AS uri FROM links UNION SELECT dst_uri FROM links UNION SELECT uri FROM fetches UNION SELECT uri FROM page_snapshots UNION SELECT uri FROM uri_info UNION SELECT unnest(outbound_links).uri FROM page_snapshots) WHERE uri IS NOT NULL))"""
+
+
+def _keyed_sql(name: str, source: str, raw: str, cols: str) -> str:
+    """CTEs that give rows of `source` the canonical address and key of an address column; invalid ones fall away."""
+    return rf"""{name}_a AS (SELECT {cols}, regexp_replace({raw}, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g') AS x FROM {source} WHERE NOT contains({raw}, '>')),
+{name}_b AS (SELECT {cols}, x, lower(regexp_extract(x, '(?i)^https?://([^/?#]*)', 1)) AS authority, regexp_extract(x, '(?is)^https?://[^/?#]*(.*)$', 1) AS path0, lower(x[1:6]) = 'https:' AS secure FROM {name}_a WHERE regexp_matches(x, '(?i)^https?://') AND length(x) >= 8),
+{name}_c AS (SELECT *, split_part(authority, ':', 1) AS h, CASE WHEN path0 = '' THEN '/' ELSE path0 END AS path, CASE WHEN contains(authority, ':') THEN try_cast(regexp_extract(authority, '^[^:]*:(.*)$', 1) AS INTEGER) WHEN secure THEN 443 ELSE 80 END AS port FROM {name}_b),
+{name} AS (SELECT {cols}, CASE WHEN secure THEN 'https://' ELSE 'http://' END || h || CASE WHEN port = CASE WHEN secure THEN 443 ELSE 80 END THEN '' ELSE ':' || port END || path AS k_url,
+  rev || '>' || sub || '>' || CASE WHEN secure THEN 's' ELSE 'o' END || CASE WHEN port = CASE WHEN secure THEN 443 ELSE 80 END THEN '' ELSE port::VARCHAR END || '>' || path AS k_uri, rev AS k_rev FROM {name}_c JOIN hosts ON host = h WHERE port IS NOT NULL)"""
+
+
 _JSON = '$.Envelope."Payload-Metadata"."HTTP-Response-Metadata"'
 _TEXT = "CASE WHEN json_type({x}, '{p}') = 'VARCHAR' THEN json_extract_string({x}, '{p}') END"
 
@@ -342,14 +440,12 @@ ORACLES = {
     "page_lookup": _BASE + "SELECT p.uri, url, coalesce(links_to, 0)::BIGINT AS num_inbound, num_outbound, crawl_date, server, title FROM p LEFT JOIN info ON info.uri = p.uri ORDER BY num_outbound DESC, p.uri LIMIT 1",
     "page_degrees": _BASE + "SELECT p.uri, num_outbound, links_to AS num_inbound FROM p JOIN info ON info.uri = p.uri",
     "index_statistics": _BASE + "SELECT count(*)::BIGINT AS pages, count(*) FILTER (num_outbound = 0)::BIGINT AS empty_pages, sum(num_outbound)::BIGINT AS links FROM allp",
-    "index_cells": _BASE + ", " + _CODED.replace("{t}", "info") + """, i2 AS (SELECT i.*, c.code FROM info i JOIN coded c ON c.links_to = i.links_to)
-SELECT 'p:' || dst AS row, 'inlinks' AS cf, src AS cq, anchor AS value FROM e
-UNION ALL SELECT 't:' || code || ':' || uri, '', '', links_to::VARCHAR FROM i2
-UNION ALL SELECT 'd:' || split_part(uri, '>', 1) || ':' || code || ':' || uri, 'rank', '', links_to::VARCHAR FROM i2
-UNION ALL SELECT 'p:' || uri, 'page', 'incount', links_to::VARCHAR FROM i2
-UNION ALL SELECT 'd:' || domain, 'domain', 'pagecount', pagecount::VARCHAR FROM dom""",
+    "page_json": _BASE + f"SELECT uri, {_PAGE_JSON} AS json FROM p",
+    "index_cells": _BASE + ", " + _CODED.replace("{t}", "info") + " " + _cells_sql(),
+    "index_cells_sorted": _BASE + ", " + _CODED.replace("{t}", "info") + " SELECT * FROM (" + _cells_sql() + ") ORDER BY row, cf, cq LIMIT 1000",
+    "cell_changes": f"WITH {_side('old_', 1)}, {_side('new_', 0)} SELECT CASE WHEN n.row IS NULL THEN 'delete' ELSE 'put' END AS op, coalesce(n.row, o.row) AS row, coalesce(n.cf, o.cf) AS cf, coalesce(n.cq, o.cq) AS cq, n.value AS value FROM old_cells o FULL JOIN new_cells n ON n.row = o.row AND n.cf = o.cf AND n.cq = o.cq WHERE n.value IS DISTINCT FROM o.value",
     "rev_encode": "WITH " + _CODED.replace("{t}", "uri_info") + " SELECT links_to, code FROM coded",
-    "rev_encode_order": "SELECT links_to FROM uri_info WHERE false",
+    "rev_encode_order": "SELECT links_to, true AS descends FROM (SELECT DISTINCT links_to FROM uri_info WHERE links_to IS NOT NULL) WHERE links_to > (SELECT min(links_to) FROM uri_info)",
     "link_added": _FINAL + "SELECT src, dst FROM added",
     "link_deleted": _FINAL + "SELECT src, dst FROM deleted",
     "uri_delta": _FINAL + "SELECT uri, links_to, docs FROM delta",
@@ -358,6 +454,11 @@ UNION ALL SELECT 'd:' || domain, 'domain', 'pagecount', pagecount::VARCHAR FROM
     "incremental_uri_info": _FINAL + "SELECT uri, links_to, docs FROM info2",
     "incremental_domain_count": _FINAL + "SELECT split_part(uri, '>', 1) AS domain, count(*)::BIGINT AS pagecount FROM info2 GROUP BY 1",
     "streamed_uri_info": _FINAL + "SELECT uri, links_to, docs FROM info2",
+    "streamed_domain_count": _FINAL + ", " + _E2 + " SELECT domain, pagecount FROM dom2",
+    "streamed_pages": _FINAL + "SELECT uri, url, num_outbound, crawl_date, server, title FROM p2",
+    "streamed_edges": _FINAL + ", " + _E2 + " SELECT src, dst, anchor FROM e2",
+    "streamed_cells": _FINAL + ", " + _E2 + ", " + _CODED.replace("{t}", "info2") + " " + _cells_sql("p2", "e2", "info2", "dom2"),
+    "stream_meters": "SELECT 4::BIGINT AS batches, count(*)::BIGINT AS updates_in FROM page_updates",
     "update_meters": _FINAL + """, dn AS (SELECT split_part(uri, '>', 1) AS domain, sum(a)::BIGINT AS was, sum(b)::BIGINT AS now FROM (SELECT uri, 1 AS a, 0 AS b FROM info UNION ALL SELECT uri, 0, 1 FROM info2) GROUP BY 1)
 SELECT (SELECT count(*) FROM page_updates)::BIGINT AS updates_in, (SELECT count(*) FROM touched)::BIGINT AS pages_changed, (SELECT count(*) FROM added)::BIGINT AS links_new, (SELECT count(*) FROM deleted)::BIGINT AS links_deleted, (SELECT count(*) FROM delta)::BIGINT AS uris_changed,
 (SELECT count(*) FROM dn WHERE was = 0)::BIGINT AS domains_new, (SELECT count(*) FROM dn WHERE now = 0)::BIGINT AS domains_gone, (SELECT count(*) FROM dn WHERE was <> now)::BIGINT AS domains_changed""",
@@ -368,7 +469,7 @@ a AS (SELECT fetch_id, split_part(uri, '>', 1) AS rev, lower(regexp_extract(x, '
 b AS (SELECT *, split_part(authority, ':', 1) AS host FROM a), c AS (SELECT *, regexp_matches(host, '^[0-9.]+$') AS ip_host FROM b)
 SELECT fetch_id, CASE WHEN ip_host THEN host ELSE array_to_string(list_reverse(string_split(rev, '.')), '.') END AS domain, host, CASE WHEN path = '' THEN '/' ELSE path END AS path,
 CASE WHEN contains(authority, ':') THEN split_part(authority, ':', 2)::INTEGER WHEN secure THEN 443 ELSE 80 END AS port, secure, ip_host FROM c""",
-    "url_roundtrip": "SELECT uri FROM uri_info WHERE false",
+    "url_roundtrip": "SELECT DISTINCT uri, uri AS again FROM uri_info WHERE uri IS NOT NULL",
     "url_of_key": "SELECT DISTINCT uri, url FROM page_snapshots WHERE uri IS NOT NULL",
     "url_reverse_host": "SELECT host, array_to_string(list_reverse(string_split(host, '.')), '.') AS turned FROM (SELECT DISTINCT regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1) AS host FROM page_snapshots)",
     "url_domain": "SELECT DISTINCT uri, split_part(uri, '>', 1) AS rev_domain FROM page_snapshots WHERE uri IS NOT NULL",
@@ -384,3 +485,19 @@ y AS (SELECT record_no, ls, list_position(list_transform(ls, lambda l: json_type
 z AS (SELECT record_no, CASE WHEN stop IS NULL OR stop = 0 THEN ls ELSE ls[1:stop - 1] END AS ls FROM y)
 SELECT record_no, len(list_filter(ls, lambda l: json_type(l, '$.url') = 'VARCHAR' AND json_type(l, '$.path') = 'VARCHAR' AND json_extract_string(l, '$.path') = 'A@/href'))::INTEGER AS n_links FROM z""",
 }
+
+_ANCHOR = "json_type(l, '$.url') = 'VARCHAR' AND json_type(l, '$.path') = 'VARCHAR' AND json_extract_string(l, '$.path') = 'A@/href'"
+_PARSED = f"""WITH {_HOSTS}, docs AS (SELECT record_no, target_uri, warc_date, content_type, body::JSON AS doc FROM wat_records WHERE json_valid(body) AND lower(content_type) = 'application/json' AND target_uri IS NOT NULL),
+{_keyed_sql("heads", "docs", "target_uri", "record_no, warc_date, content_type, doc, target_uri")},
+each AS (SELECT record_no, k_rev AS own, unnest(ls) AS l, generate_subscripts(ls, 1) AS i FROM (SELECT *, CASE WHEN content_type = 'application/json' AND json_type(doc, '{_JSON}."HTML-Metadata".Links') = 'ARRAY' THEN json_extract(doc, '{_JSON}."HTML-Metadata".Links[*]') ELSE [] END AS ls FROM heads)),
+found AS (SELECT record_no, own, i, json_extract_string(l, '$.url') AS raw, coalesce({_TEXT.format(x="l", p="$.text")}, {_TEXT.format(x="l", p="$.title")}, '') AS anchor_text FROM each WHERE {_ANCHOR}),
+{_keyed_sql("keyed", "found", "raw", "record_no, own, i, anchor_text")},
+ll AS (SELECT record_no, (row_number() OVER (PARTITION BY record_no ORDER BY i) - 1)::INTEGER AS link_no, k_url AS url, k_uri AS uri, anchor_text FROM keyed WHERE k_rev <> own),
+lists AS (SELECT record_no, list({{'url': url, 'uri': uri, 'anchor_text': anchor_text}} ORDER BY link_no) AS outbound_links FROM ll GROUP BY 1),
+pp AS (SELECT h.record_no, k_url AS url, k_uri AS uri, coalesce(len(outbound_links), 0)::BIGINT AS num_outbound, warc_date AS crawl_date, {_TEXT.format(x="doc", p=_JSON + ".Headers.Server")} AS server, {_TEXT.format(x="doc", p=_JSON + '."HTML-Metadata".Head.Title')} AS title, outbound_links FROM heads h LEFT JOIN lists ON lists.record_no = h.record_no)
+"""
+ORACLES |= {
+    "parsed_pages": _PARSED + "SELECT record_no, url, uri, num_outbound, crawl_date, server, title FROM pp",
+    "parsed_links": _PARSED + "SELECT * FROM ll",
+    "parsed_edges": _PARSED + ", " + _page_ctes("pp") + " SELECT uri AS src, l.uri AS dst, coalesce(l.anchor_text, '') AS anchor FROM (SELECT uri, unnest(links) AS l FROM allp WHERE num_outbound > 0)",
+}

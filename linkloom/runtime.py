@@ -21,10 +21,12 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); a temporary one only where it is unset."""
+    """The cluster's shared folder (spark.checkpoint.dir). Where it is unset: a temporary one on a single machine, an error on a cluster."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="linkloom-"))
     return named or sc.getCheckpointDir()
 
@@ -35,9 +37,10 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def if_small(df: DataFrame, rows: int = 50_000) -> DataFrame:
-    """Marks df for broadcast if it is counted to be small; else the join shuffles. df should be cheap to count, as after cut()."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def if_small(df: DataFrame, rows: int = 50_000, size: int = 16 << 20) -> DataFrame:
+    """Marks df for broadcast if it is counted to be small in rows and in bytes (of its text form); else the join shuffles. df should be cheap to read, as after cut()."""
+    seen = df.limit(rows + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0)).alias("size")).first()
+    return F.broadcast(df) if seen["n"] <= rows and seen["size"] <= size else df
 
 
 def spread(df: DataFrame, key: str, per_core: int = 3) -> DataFrame:

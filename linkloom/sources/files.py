@@ -28,38 +28,61 @@ def file_name(path: str) -> str:
     return path.rstrip("/").rpartition("/")[2]
 
 
-def require_data(folder: str) -> str:
+def list_files(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of all files below a folder of any Hadoop file system, hidden ones left out; sorted."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    out, found = [], system.listFiles(path, True)
+    while found.hasNext():
+        f = found.next().getPath()
+        if not f.getName().startswith(("_", ".")):
+            out.append(f.toString())
+    return sorted(out)
+
+
+def require_data(spark: SparkSession, folder: str) -> str:
     """The folder, if it exists and holds a file; else ValueError."""
-    if not os.path.isdir(folder):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
         raise ValueError(f"no such folder: {folder}")
-    if not any(files for _, _, files in os.walk(folder)):
+    if not list_files(spark, folder):
         raise ValueError(f"no files in {folder}")
     return folder
 
 
 def copy_files(spark: SparkSession, sources: list[str], target: str) -> DataFrame:
-    """Copies files in parallel, skipping those that exist; (path, done) with the failed ones marked. Same file system rights as the executors."""
+    """Copies files in parallel, skipping those that exist; (path, done) with the failed ones marked.
 
-    def run(batches):
-        import shutil
+    Streams between any two file systems that the executors can open: mounted folders, or those Arrow knows (hdfs, s3, gs).
+    """
 
+    def run(batches):
         import pyarrow as pa
+        from pyarrow import fs
+
+        def place(path: str):
+            return fs.FileSystem.from_uri("s3" + path[3:] if path.startswith("s3a:") else path if ":" in path else os.path.abspath(path))
 
         for b in batches:
             done = []
             for p in b.column(0).to_pylist():
-                to = os.path.join(target, file_name(p))
                 try:
-                    if not os.path.exists(to):
+                    (a, source), (c, to) = place(p), place(add_slash(target) + file_name(p))
+                    if c.get_file_info(to).type == fs.FileType.NotFound:
+                        c.create_dir(to.rpartition("/")[0], recursive=True)
                         part = f"{to}.part-{os.getpid()}"
-                        shutil.copyfile(p, part)
-                        os.replace(part, to)
+                        with a.open_input_stream(source, compression=None) as x, c.open_output_stream(part, compression=None) as y:
+                            while block := x.read(1 << 22):
+                                y.write(block)
+                        c.move(part, to)
                     done.append("copied")
-                except OSError as e:
+                except (OSError, ValueError) as e:
                     done.append(f"failed: {e}")
             yield pa.RecordBatch.from_pydict({"path": b.column(0), "done": done})
 
-    df = spark.createDataFrame([(p,) for p in sources], "path string").repartition(max(1, len(sources)))
+    df = spark.createDataFrame([(p,) for p in sources], "path string").repartition(max(1, min(len(sources), 10_000)))
     return df.mapInArrow(run, "path string, done string")
 
 

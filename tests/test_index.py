@@ -132,7 +132,7 @@ def test_incremental_equals_batch(spark, seed):
 
 
 def test_delete_of_unknown_page_and_replay(spark, tmp_path):
-    store = incremental.IndexStore(spark, str(tmp_path / "s"))
+    store = incremental.IndexStore(spark, str(tmp_path / "s"), buckets=2, ranges=2)
     store.bootstrap(spark.createDataFrame(SET1, schema.PAGE))
     batch = spark.createDataFrame([update(1, "com.z>>o>/", [], "D"), update(2, A1, [C1])], UPDATE)
     assert store.apply(batch, 1, ["update_id"])
@@ -143,7 +143,7 @@ def test_delete_of_unknown_page_and_replay(spark, tmp_path):
 
 
 def test_stream(spark, tmp_path):
-    store = incremental.IndexStore(spark, str(tmp_path / "s"))
+    store = incremental.IndexStore(spark, str(tmp_path / "s"), buckets=2, ranges=2)
     store.bootstrap(spark.createDataFrame(SET1, schema.PAGE))
     for i, u in enumerate([update(1, A1, [C1]), update(2, B, [], "D")]):
         spark.createDataFrame([u], UPDATE).coalesce(1).write.parquet(str(tmp_path / f"in/{i}"))
@@ -152,11 +152,73 @@ def test_stream(spark, tmp_path):
     assert rows(store.tables()["uri_info"], "uri", "links_to", "docs") == [(A1, 0, 1), (C1, 1, 0)]
 
 
+@pytest.mark.parametrize("seed", [1])
+def test_late_updates_over_batches(spark, tmp_path, seed):
+    """Updates that arrive in any order, over micro-batches with merges in between, equal all of them at once; so do the exported cells."""
+    rnd = random.Random(seed)
+    names = [f"com.d{i % 3}>>o>/{i}" for i in range(6)]
+    first = spark.createDataFrame([page(n, [(u, "old") for u in rnd.sample(names, 3)]) for n in names[:4]], schema.PAGE)
+    ups = [update(i, rnd.choice(names), rnd.sample(names, rnd.randint(0, 3)), "D" if rnd.random() < 0.3 else "U") for i in range(1, 13)]
+    want = incremental.apply_updates(incremental.build(first), spark.createDataFrame(ups, UPDATE), ["update_id"])
+    rnd.shuffle(ups)
+    store = incremental.IndexStore(spark, str(tmp_path / "s"), buckets=2, ranges=2, compact=2)
+    store.bootstrap(first)
+    for b in range(4):
+        assert store.apply(spark.createDataFrame(ups[3 * b : 3 * b + 3], UPDATE), b + 1, ["update_id"])
+        assert store.meters["updates_in"] == 3
+    got = store.tables()
+    assert rows(got["uri_info"], "uri", "links_to", "docs") == rows(want["uri_info"], "uri", "links_to", "docs")
+    assert rows(got["domain_count"], "domain", "pagecount") == rows(want["domain_count"], "domain", "pagecount")
+    assert rows(got["pages"], "uri", "num_outbound") == rows(want["pages"], "uri", "num_outbound")
+    assert rows(store.table("edges"), "src", "dst", "anchor") == rows(index.edges(want["pages"]), "src", "dst", "anchor")
+    cells = ("row", "cf", "cq", "value")
+    assert rows(store.cells(), *cells) == rows(index.cells(want["pages"], want["uri_info"], want["domain_count"]), *cells)
+    assert len(store.store._pointers()) == 2 and len(store.store.files.names("pages")) <= 5  # old versions are removed
+
+
+def test_empty_update_is_skipped(spark, tmp_path):
+    store = incremental.IndexStore(spark, str(tmp_path / "s"), buckets=2, cells=False)
+    store.bootstrap(spark.createDataFrame(SET1, schema.PAGE))
+    before = rows(store.tables()["uri_info"], "uri", "links_to", "docs")
+    empty = (1, A1, "U", None, (None, A1, 0, None, None, None, []))
+    store.apply(spark.createDataFrame([empty], UPDATE), 1, ["update_id"])
+    assert rows(store.tables()["uri_info"], "uri", "links_to", "docs") == before
+
+
+def test_failed_batch_leaves_the_state(spark, tmp_path, monkeypatch):
+    store = incremental.IndexStore(spark, str(tmp_path / "s"), buckets=2, cells=False)
+    store.bootstrap(spark.createDataFrame(SET1, schema.PAGE))
+    before = rows(store.tables()["uri_info"], "uri", "links_to", "docs")
+    batch = spark.createDataFrame([update(1, A1, [C1])], UPDATE)
+    monkeypatch.setattr(store, "_measure", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        store.apply(batch, 1, ["update_id"])
+    assert rows(store.tables()["uri_info"], "uri", "links_to", "docs") == before
+    monkeypatch.undo()
+    assert store.apply(batch, 1, ["update_id"]) and (B3, 1, 0) in rows(store.tables()["uri_info"], "uri", "links_to", "docs")
+
+
+def test_lookup_reads_one_bucket(spark, tmp_path):
+    store = incremental.IndexStore(spark, str(tmp_path / "s"), buckets=8, cells=False)
+    store.bootstrap(spark.createDataFrame(SET1, schema.PAGE))
+    for df in (store.table("edges").where(f"dst = '{C1}'"), store.table("pages").where(f"uri = '{A1}'")):
+        scan = df._jdf.queryExecution().sparkPlan().collectLeaves().head()
+        assert scan.optionalBucketSet().get().cardinality() == 1 and df.count() in (1, 2)
+
+
 def test_time_buckets(spark):
     e = spark.sql("SELECT timestamp'2024-01-01 00:00:29' ts, 1.0D value, 'a' k UNION ALL SELECT timestamp'2024-01-01 00:00:30', 2.0D, 'a' UNION ALL SELECT timestamp'2024-01-01 00:00:59', 3.0D, 'a'")
     assert [(r.total, r.n) for r in index.time_buckets(e, "ts", "value", ["k"]).orderBy("bucket").collect()] == [(1.0, 1), (5.0, 2)]
 
 
+def test_links_distinct_and_sorted(spark):
+    links = [("u", k, str(i)) for i, k in enumerate(["b", "a", None, "b", "c", "a"])]
+    got = spark.createDataFrame([(links,), ([],), (None,)], f"x array<{schema.LINK}>").select(index.distinct_links(F.col("x")).alias("y")).collect()
+    assert [(x.uri, x.anchor_text) for x in got[0].y] == [("a", "1"), ("b", "0"), ("c", "4")] and got[1].y == [] and got[2].y is None
+    many = [("u", f"k{i % 20000}", str(i)) for i in range(40000)]
+    assert spark.createDataFrame([(many,)], f"x array<{schema.LINK}>").select(F.size(index.distinct_links(F.col("x"))).alias("n")).first().n == 20000
+
+
 def test_api(set1, spark):
     from linkloom import api
 
@@ -169,9 +231,13 @@ def test_api(set1, spark):
     assert api.answer(ix, "/api/links", {"url": "http://c.com/1"})[0] == 400 and api.answer(ix, "/api/page", {"url": "nope"})[0] == 400 and api.answer(ix, "/x", {})[0] == 404
 
 
-def test_meters(set1, spark):
+def test_meters(set1, spark, tmp_path):
     from linkloom.operators import metrics
 
+    log = metrics.MeterLog(spark, str(tmp_path / "m"))
+    log(1, {"updates_in": 3}), log(1, {"updates_in": 9})
+    assert log.rows() == [{"batch": 1, "updates_in": 3}]
+
     m = metrics.update_meters(set1, spark.createDataFrame([update(1, A1, [C1, "com.new>>o>/"]), update(2, B, [], "D"), update(3, "com.z>>o>/", [], "D")], UPDATE), ["update_id"]).first()
     assert (m.updates_in, m.pages_changed, m.links_new, m.links_deleted, m.domains_new, m.domains_gone) == (3, 2, 1, 5, 1, 1)
     df, seen = metrics.observed(spark.createDataFrame([*SET1, page(C1, [])], schema.PAGE))

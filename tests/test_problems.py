@@ -33,6 +33,14 @@ def test_typed_tables_and_parents(spark):
     assert (r.record_no, r.list_pos, r.path, r.url, r.variant) == (0, 0, None, "u", "open")
 
 
+def test_repeated_keys_and_residuals(spark):
+    """The last value of a repeated key counts; what fits no typed table is kept."""
+    body = '{"Envelope":{"x":1,"x":2,"Payload-Metadata":{"HTTP-Response-Metadata":{"HTML-Metadata":{"Links":[{"path":"old","path":"p","url":5,"more":{"k":[1]}},7,null]}}}}}'
+    assert variants.subtype(table(spark, [body]), "Links").first().path == "p"
+    got = sorted((r.list_pos, r.field or "", r.kind, r.value) for r in variants.residuals(table(spark, [body, None])).collect())
+    assert got == [(0, "more", "OBJECT<k: ARRAY<NUMBER>>", '{"k":[1]}'), (0, "url", "NUMBER", "5"), (1, "", "NUMBER", "7"), (2, "", "VOID", "null")]
+
+
 def test_variants_long_and_empty(spark):
     big = json.dumps(H({"Links": [{"path": "p", "url": "x" * 1000} for _ in range(3000)]}))
     assert variants.children(table(spark, [big, big])).count() == 6000
@@ -81,14 +89,31 @@ def test_snapshots_one_or_none(spark):
     assert snapshots.page_changes(spark.createDataFrame([], SNAP)).count() == 0
 
 
-def test_snapshot_store(spark, tmp_path):
+def test_snapshot_store(spark, tmp_path, monkeypatch):
     rows = snap([(1, "p", "d", "s", "t", ["a"]), (1, "q", "d", "s", "t", ["a"]), (2, "p", "d", "s", "t", ["a", "b"])])
     df = spark.createDataFrame(rows, SNAP)
-    store = snapshots.SnapshotStore(spark, str(tmp_path), buckets=2)
-    assert store.advance(df.where("snap_no = 1").drop("snap_no"), 1) is None
-    got = sorted((r.k, r["item"], r.change_kind) for r in store.advance(df.where("snap_no = 2").drop("snap_no"), 2).collect())
+    store = snapshots.SnapshotStore(spark, str(tmp_path), "uri", "crawl_date", ["title", "server"], F.transform("outbound_links", lambda x: x["uri"]), buckets=2)
+    assert store.receive(df.where("snap_no = 1"), "snap_no") == [1] and store.advance(1) and store.changes([1]).count() == 0
+    store.receive(df.where("snap_no = 2"), "snap_no")
+    monkeypatch.setattr(store.store, "commit", lambda state: 1 / 0)
+    with pytest.raises(ZeroDivisionError):  # fails at the swap: the old index is still the last one
+        store.advance(2)
+    monkeypatch.undo()
+    assert store.current() == 1 and store.advance(2) and store.current() == 2
+    got = sorted((r.k, r["item"], r.change_kind) for r in store.changes([2]).collect())
     assert got == [("p", "", "changed"), ("p", "b", "added"), ("q", "", "removed"), ("q", "a", "removed")]
-    assert store.advance(df.drop("snap_no"), 2) is None and store.current()["snap"] == 2
+    store.receive(df, "snap_no")
+    assert not store.advance(1) and not store.advance(2) and store.changes([1, 2]).count() == 4
+
+
+def test_snapshot_probe_moves_no_index(spark, tmp_path):
+    store = snapshots.SnapshotStore(spark, str(tmp_path), "uri", "crawl_date", ["title"], F.transform("outbound_links", lambda x: x["uri"]), buckets=4)
+    rows = spark.createDataFrame(snap([(n, f"p{i}", "d", "s", "t", []) for n in (1, 2) for i in range(9)]), SNAP)
+    store.receive(rows, "snap_no")
+    for n in (1, 2):
+        store.store.write(snapshots.index_of(store._rows(n)), "index", n, "k")
+    plan = snapshots.probe(store.store.read("index", [1], "k"), store.store.read("index", [2], "k"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "FullOuter" in plan
 
 
 @pytest.mark.parametrize("slices,fan_in", [(1, 2), (8, 2), (64, 8), (5, 3)])

@@ -1,4 +1,5 @@
 import gzip
+import json
 
 import pytest
 
@@ -70,10 +71,10 @@ def test_paths_range():
 def test_small_helpers(spark, tmp_path):
     assert files.add_slash("a") == files.add_slash("a/") == "a/" and files.file_name("x/y/z.gz") == "z.gz"
     with pytest.raises(ValueError):
-        files.require_data(str(tmp_path))
+        files.require_data(spark, str(tmp_path))
     (tmp_path / "f").write_text("x")
     (tmp_path / "to").mkdir()
-    assert files.require_data(str(tmp_path)) == str(tmp_path)
+    assert files.require_data(spark, str(tmp_path)) == str(tmp_path) and [p.rpartition("/")[2] for p in files.list_files(spark, str(tmp_path))] == ["f"]
     done = files.copy_files(spark, [str(tmp_path / "f"), str(tmp_path / "none")], str(tmp_path / "to")).collect()
     assert sorted(r.done.split(":")[0] for r in done) == ["copied", "failed"] and (tmp_path / "to/f").read_text() == "x"
     (tmp_path / "c.yml").write_text("table: t\nload_rate_limit: 50\n")
@@ -84,5 +85,30 @@ def test_command_line(spark, archive, tmp_path, capsys):
     (tmp_path / "paths").write_text("a\nb\nc\n")
     assert jobs.main(["getpaths", str(tmp_path / "paths"), "0-1"]) == 0
     assert capsys.readouterr().out.split() == ["a", "b"]
-    IndexStore(spark, str(tmp_path / "st")).bootstrap(page_source.read_pages(spark, str(tmp_path / "paths")))
+    IndexStore(spark, str(tmp_path / "st"), buckets=2, ranges=2).bootstrap(page_source.read_pages(spark, str(tmp_path / "paths")))
     jobs.main(["query", str(tmp_path / "st"), "top"])
+
+
+@pytest.mark.parametrize("exact", [False, True])
+def test_archives_end_to_end(spark, tmp_path, capsys, exact):
+    """init and load from archives, plain and gzip, then the questions. An older capture that is loaded later changes nothing."""
+    body = lambda *us: json.dumps({"Envelope": {"Payload-Metadata": {"HTTP-Response-Metadata": {"HTML-Metadata": {"Links": [{"path": "A@/href", "url": u, "text": "t"} for u in us]}}}}})
+    dated = lambda day, uri, b: record("metadata", uri, b).replace(b"2015-04-18", day.encode())
+    for name, data in (("one/a.warc", record("metadata", "http://a.com/", body("http://b.com/", "http://c.com/")) + record("metadata", "http://d.com/", body("http://b.com/"))), ("two/b.warc.gz", dated("2015-05-01", "http://a.com/", body("http://c.com/")) + dated("2014-01-01", "http://d.com/", body("http://x.com/")))):
+        (tmp_path / name).parent.mkdir()
+        (tmp_path / name).write_bytes(gzip.compress(data) if name.endswith("gz") else data)
+    (tmp_path / "c.yml").write_text("buckets: 2\ntablets: 2\nload_rate_limit: 1000\n")
+    more = ["--store", str(tmp_path / "st"), "--config", str(tmp_path / "c.yml"), *(["--exact"] if exact else [])]
+    assert jobs.main(["parse", str(tmp_path / "one")]) == 0 and jobs.main(["init", str(tmp_path / "one"), *more]) == 0
+    ask = lambda *q: (capsys.readouterr(), jobs.main(["query", str(tmp_path / "st"), *q]), [json.loads(x) for x in capsys.readouterr().out.split("\n") if x])[2]
+    assert ask("top")[0] == {"uri": "com.b>>o>/", "links_to": 2}
+    assert jobs.main(["load", str(tmp_path / "two"), *more]) == 0
+    assert {r["uri"]: r["links_to"] for r in ask("top")} == {"com.a>>o>/": 0, "com.b>>o>/": 1, "com.c>>o>/": 1, "com.d>>o>/": 0}
+    assert [r["uri"] for r in ask("in", "com.c>>o>/")] == ["com.a>>o>/"] and [r["uri"] for r in ask("out", "com.d>>o>/")] == ["com.b>>o>/"]
+    assert ask("page", "com.b>>o>/")[0]["num_inbound"] == 1
+    assert jobs.main(["splits", "-", "--store", str(tmp_path / "st")]) == 0 and "p:com.a" in capsys.readouterr().out
+
+
+def test_exact_source_keeps_heads_in_bodies(spark, tmp_path):
+    (tmp_path / "a.warc").write_bytes(record("metadata", "http://a.com/", "x WARC/1.0\r\ny") + record("metadata", "http://b.com/", "z"))
+    assert [r.body for r in archives.read(spark, str(tmp_path), exact=True).collect()] == ["x WARC/1.0\r\ny", "z"]
