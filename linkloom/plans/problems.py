@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import snapshots, treeagg, variants
 from ..runtime import table
@@ -16,6 +17,16 @@ def p1_variants(spark: SparkSession, d: str) -> DataFrame:
     return variants.children(table(spark, d, "wat_records")).groupBy("list_name", "variant", "shape").count().withColumnRenamed("count", "n_objects")
 
 
+def p1_routes(spark: SparkSession, d: str) -> DataFrame:
+    """How many elements of each list each subtype accepts."""
+    return variants.children(table(spark, d, "wat_records")).groupBy("list_name", "variant").agg(F.count("*").alias("n_objects"))
+
+
+def p1_residuals(spark: SparkSession, d: str) -> DataFrame:
+    """What the typed tables can't hold, by its kind."""
+    return variants.residuals(table(spark, d, "wat_records")).select("record_no", "list_name", "list_pos", "field", F.substring_index("kind", "<", 1).alias("kind"))
+
+
 def p1_records(spark: SparkSession, d: str) -> DataFrame:
     return variants.record_heads(table(spark, d, "wat_records"))
 
@@ -40,6 +51,8 @@ def p6_degrees(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_variants": p1_variants,
+    "p1_routes": p1_routes,
+    "p1_residuals": p1_residuals,
     "p1_records": p1_records,
     "p1_links": _subtype("Links"),
     "p1_metas": _subtype("Metas"),
@@ -81,6 +94,19 @@ def _sql_of(name: str) -> str:
     return _typed_sql(name, variants.FIELDS[name], [(r.variant, list(r.children)) for r in variants.RULES[name]])
 
 
+def _routes_sql() -> str:
+    case = "".join(f" WHEN list_name = '{n}'" + "".join(f""" AND json_type(item, '$."{f}"') = 'VARCHAR'""" for f in r.children) + f" THEN '{r.variant}'" for n, rules in variants.RULES.items() for r in rules)
+    return _lists_sql(_PATHS) + f"SELECT list_name, variant, count(*)::BIGINT AS n_objects FROM (SELECT list_name, CASE{case} ELSE 'open' END AS variant FROM rows WHERE json_type(item) = 'OBJECT') GROUP BY 1, 2"
+
+
+def _residuals_sql() -> str:
+    kind = "CASE json_type({x}) WHEN 'VARCHAR' THEN 'STRING' WHEN 'NULL' THEN 'VOID' WHEN 'BOOLEAN' THEN 'BOOLEAN' WHEN 'ARRAY' THEN 'ARRAY' WHEN 'OBJECT' THEN 'OBJECT' ELSE 'NUMBER' END"
+    typed = " OR ".join(f"(list_name = '{n}' AND field IN ({', '.join(repr(f) for f in cols.values())}))" for n, cols in variants.FIELDS.items())
+    return _lists_sql(_PATHS) + f""", each AS (SELECT record_no, list_name, pos, field, json_extract(item, '$."' || field || '"') AS v FROM (SELECT *, unnest(json_keys(item)) AS field FROM rows WHERE json_type(item) = 'OBJECT'))
+SELECT record_no, list_name, pos::INTEGER AS list_pos, NULL::VARCHAR AS field, {kind.format(x="item")} AS kind FROM rows WHERE json_type(item) <> 'OBJECT'
+UNION ALL SELECT record_no, list_name, pos::INTEGER, field, {kind.format(x="v")} FROM each WHERE NOT (({typed}) AND json_type(v) = 'VARCHAR')"""
+
+
 def _string(path: str) -> str:
     return f"CASE WHEN json_type(doc, '{path}') = 'VARCHAR' THEN json_extract_string(doc, '{path}') END"
 
@@ -99,6 +125,8 @@ _HEADS = {
 
 ORACLES = {
     "p1_found": _lists_sql(_PATHS) + "SELECT record_no, list_name, pos::INTEGER AS list_pos FROM rows WHERE json_type(item) = 'OBJECT'",
+    "p1_routes": _routes_sql(),
+    "p1_residuals": _residuals_sql(),
     "p1_links": _sql_of("Links"),
     "p1_metas": _sql_of("Metas"),
     "p1_scripts": _sql_of("Scripts"),

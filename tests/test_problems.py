@@ -116,15 +116,20 @@ def test_snapshot_probe_moves_no_index(spark, tmp_path):
     assert "Exchange" not in plan and "FullOuter" in plan
 
 
-@pytest.mark.parametrize("slices,fan_in", [(1, 2), (8, 2), (64, 8), (5, 3)])
-def test_tree(spark, slices, fan_in):
-    rnd = random.Random(slices)
-    rows = [("hot" if rnd.random() < 0.4 else rnd.choice("abc"), rnd.choice([None, *"uvwxyz"])) for _ in range(500)] + [(None, "u")]
-    df = spark.createDataFrame(rows, "k string, p string").repartition(7).withColumn("slice", F.lit(1)).withColumn("n_rows", F.lit(9))
-    counts = {r.key_value: r.n_rows for r in treeagg.tree_counts(df, ["k"], slices, fan_in).collect()}
-    assert counts == {k: sum(1 for a, _ in rows if a == k) for k in {a for a, _ in rows if a}}
-    deg = {r.key_value: (r.n_rows, r.n_partners) for r in treeagg.tree_degrees(df, {"k": "p"}, slices, fan_in).collect()}
-    assert deg == {k: (counts[k], len({b for a, b in rows if a == k and b})) for k in counts}
+@pytest.mark.parametrize("parts,fan_in", [(1, 2), (7, 2), (7, 32), (30, 3)])
+def test_tree(spark, parts, fan_in):
+    rnd = random.Random(parts)
+    rows = [("hot" if rnd.random() < 0.4 else rnd.choice("abc"), rnd.choice([None, *"uvwxyz"]), rnd.choice("123")) for _ in range(500)] + [(None, "u", "1")]
+    df = spark.createDataFrame(rows, "k string, p string, q string").repartition(parts).withColumn("slice", F.lit(1)).withColumn("n_rows", F.lit(9))
+    counts = {r.key_value: r.n_rows for r in treeagg.tree_counts(df, ["k"], fan_in).collect()}
+    assert counts == {k: sum(1 for a, _, _ in rows if a == k) for k in {a for a, _, _ in rows if a}}
+    got = {(r.field_name, r.key_value): (r.n_rows, r.n_partners) for r in treeagg.tree_degrees(df, {"k": "p", "p": "k", "q": "p"}, fan_in).collect()}
+    want = {}
+    for name, key, other in (("k", 0, 1), ("p", 1, 0), ("q", 2, 1)):
+        for v in {r[key] for r in rows if r[key] is not None}:
+            mine = [r[other] for r in rows if r[key] == v]
+            want[name, v] = (len(mine), len({x for x in mine if x is not None}))
+    assert got == want
 
 
 def test_heavy_keys_and_empty(spark):
