@@ -2,9 +2,11 @@
 
 The rank file is read once per Python worker, from a path that every executor
 has. Long texts are cut at boundaries no token pattern match can cross: before a
-single space that stands between two non-space characters. Every pattern match
-that begins left of such a place ends left of it, since no alternative has an
-inner space, so the ids are those of the whole text.
+single space that stands between two non-space characters, and between letters,
+digits and other signs (but not after an apostrophe, which may begin a contraction).
+Every pattern match that begins left of such a place ends at or left of it, since no
+alternative has an inner space and none but the contractions mixes the three kinds;
+so the ids are those of the whole text, also in scripts without spaces.
 
 Defined results
 * null, empty text: an empty list
@@ -30,7 +32,7 @@ RANKS = os.environ.get("LINKLOOM_RANKS", "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the vocabulary's pattern of pieces.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PIECE = 8192
-_SAFE = regex.compile(r"(?<=\S) (?=\S)")
+_SAFE = regex.compile(r"(?<=\S) (?=\S)|(?<=\p{L})(?=[^\s\p{L}])|(?<=\p{N})(?=[^\s\p{N}])|(?<=[^\s\p{L}\p{N}'])(?=[\p{L}\p{N}])")
 
 
 @functools.lru_cache(maxsize=4)
@@ -46,11 +48,11 @@ def pieces(text: str, size: int = PIECE) -> Iterator[str]:
     """Parts of at least `size` characters (but the last) that join to the text and encode alike."""
     start = 0
     while len(text) - start > size:
-        cut = _SAFE.search(text, start + size)
-        if cut is None:
+        found = _SAFE.search(text, start + size)
+        if found is None:
             break
-        yield text[start : cut.start()]
-        start = cut.start()
+        yield text[start : found.start()]
+        start = found.start()
     yield text[start:]
 
 

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import cut
+
 WIDTH, DEPTH = 1 << 14, 5
 
 
@@ -97,7 +99,8 @@ def candidates(df: DataFrame, columns: list[str], share: float, width: int = WID
 def _candidates(hashed: DataFrame, share: float, width: int, depth: int) -> DataFrame:
     local = hashed.mapInArrow(_combine, "field_no int, h bigint, n bigint")
     keep = int(np.ceil(4 / share))
-    heaps = local.repartition("h").mapInArrow(_stream(keep, width, depth), "field_no int, h bigint, estimate bigint, weight bigint")
+    # written once (a few hundred rows per stream), since both the totals and the candidates come from them
+    heaps = cut(local.repartition("h").mapInArrow(_stream(keep, width, depth), "field_no int, h bigint, estimate bigint, weight bigint"))
     totals = heaps.groupBy("field_no").agg(F.sum("weight").alias("total"))  # one row per field
     return heaps.join(F.broadcast(totals), "field_no").where(F.col("estimate") >= F.lit(share) * F.col("total")).select("field_no", "h", "estimate", "total")
 

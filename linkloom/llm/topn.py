@@ -3,13 +3,17 @@
 (1) Every task's rows are sorted by (group, score descending, item): a run. While
 the run is formed, a group is left after its first N rows, so a group holding a
 third of the table leaves at most N rows per run. (2) Runs are bucketed by the
-group's hash. (3) Each bucket merges its runs with a loser tree and, after N
-outputs of a group, seeks every run to the next group.
+group's hash. (3) A bucket is merged as a stream: of the groups that have arrived
+whole, the runs are merged with a loser tree, and after N outputs of a group every
+run seeks to its next group by binary search.
 
-A bucket holds at most (groups in it) x N x (runs) short rows, as Arrow columns.
+Where more than `fan_in` tasks form runs, groups are first merged by blocks of
+`fan_in` runs, N rows of a group leaving each block, so a merge never holds more than
+one Arrow batch and the fan_in x N rows of one group, and a hot group is split.
 
 Defined results
-* null groups or null scores: not ranked; null items: not ranked
+* null groups, null or NaN scores, null items: not ranked
+* scores keep their type: whole numbers, decimals and fractions rank by value
 * equal scores: the bytewise smaller item first; repeated (group, item) rows are
   ranked as delivered unless `latest` removed them
 * empty tables: no rows; extra columns: ignored
@@ -17,17 +21,21 @@ Defined results
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+
 
 class Run:
-    """A sorted run with a cursor: keys are (group bytes, -score, item bytes)."""
+    """A sorted run with a cursor: keys are (group, -score, item bytes)."""
 
-    def __init__(self, groups: list[bytes], scores: list[int], items: list[bytes]):
+    def __init__(self, groups: list, scores: list, items: list[bytes]):
         self.groups, self.scores, self.items, self.i = groups, scores, items, 0
         self.load()
 
@@ -39,13 +47,10 @@ class Run:
         self.i += 1
         self.load()
 
-    def seek_past(self, group: bytes) -> bool:
-        """Moves to the first row of a later group; true if it moved."""
-        at = self.i
-        while self.i < len(self.groups) and self.groups[self.i] == group:
-            self.i += 1
+    def seek_past(self, group) -> None:
+        """Moves to the first row of a later group by binary search."""
+        self.i = bisect_right(self.groups, group, self.i)
         self.load()
-        return self.i != at
 
 
 class LoserTree:
@@ -89,7 +94,7 @@ class LoserTree:
         self.tree[0] = w
 
 
-def merge_top(runs: list[Run], n: int) -> Iterator[tuple[bytes, int, bytes, int]]:
+def merge_top(runs: list[Run], n: int) -> Iterator[tuple]:
     """(group, score, item, rank) of the first n rows of each group over all runs."""
     if not runs:
         return
@@ -129,34 +134,58 @@ def _first_of_group(n: int):
     return run
 
 
-def _merge_bucket(n: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = pa.Table.from_batches(batches) if (batches := list(batches)) else None
-        if whole is None or not whole.num_rows:
-            return
+def _merge_stream(n: int, kind: pa.DataType):
+    """Merges batches sorted by (group, run, rank in the run): (g, score, item, block, rank_no)."""
+
+    def merged(whole: pa.Table) -> pa.RecordBatch:
         ids = whole["run"].to_numpy()
-        order = np.argsort(ids, kind="stable")  # rows of one run arrive in run order
+        order = np.argsort(ids, kind="stable")  # the rows of a run stay in its order
         ids, whole = ids[order], whole.take(pa.array(order))
-        runs = []
-        for lo, hi in zip(at := np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]), np.r_[at[1:], len(ids)]):
-            part = whole.slice(lo, hi - lo)
-            g, i = (part[c].cast(pa.binary()).to_pylist() for c in ("g", "item"))
-            runs.append(Run(g, part["score"].to_pylist(), i))
+        g, s, i, block = (whole[c].to_pylist() for c in ("g", "score", "item", "block"))
+        g, i = [(x.encode(), n) for x, n in zip(g, block)], [x.encode() for x in i]
+        cuts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1], True]).tolist()
+        runs = [Run(g[lo:hi], s[lo:hi], i[lo:hi]) for lo, hi in zip(cuts, cuts[1:])]
         out = list(merge_top(runs, n))
-        if out:
-            g, s, i, r = zip(*out)
-            yield pa.RecordBatch.from_arrays([pa.array(g, pa.binary()).cast(pa.string()), pa.array(i, pa.binary()).cast(pa.string()), pa.array(s, pa.int64()), pa.array(r, pa.int32())], ["g", "item", "score", "rank_no"])
+        cols = [[x[0][0].decode() for x in out], [x[1] for x in out], [x[2].decode() for x in out], [x[0][1] for x in out], [x[3] for x in out]]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), kind, pa.string(), pa.int64(), pa.int32()))], ["g", "score", "item", "block", "rank_no"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[pa.RecordBatch] = []  # the rows so far of a group that may go on
+        for b in batches:
+            if not b.num_rows:
+                continue
+            keys = pa.StructArray.from_arrays([b.column("g"), b.column("block")], ["g", "block"])
+            last, first = keys[b.num_rows - 1], keys[0]
+            if rest and rest[-1].column("g")[rest[-1].num_rows - 1].as_py() == first["g"].as_py() and rest[-1].column("block")[rest[-1].num_rows - 1].as_py() == first["block"].as_py() and first == last:
+                rest.append(b)
+                continue
+            same = pc.and_(pc.equal(b.column("g"), last["g"]), pc.equal(b.column("block"), last["block"])).to_numpy(zero_copy_only=False)
+            at = int(same.argmax())  # where the last group of the batch begins
+            if rest or at:
+                yield merged(pa.Table.from_batches([*rest, b.slice(0, at)] if not (at == 0 and rest) else rest))
+            rest = [b.slice(at)]
+        if rest:
+            yield merged(pa.Table.from_batches(rest))
 
     return run
 
 
-def top_n(df: DataFrame, group: Column, score: Column, item: Column, n: int) -> DataFrame:
-    """(g, item, score, rank_no): rank 1 to n of every group."""
-    rows = df.select(group.alias("g"), score.cast("bigint").alias("score"), item.alias("item")).where("g is not null and score is not null and item is not null")
-    head = rows.sortWithinPartitions("g", F.desc("score"), "item").mapInArrow(_first_of_group(n), "g string, score bigint, item string")
-    runs = head.withColumn("run", F.spark_partition_id())
-    bucketed = runs.repartition("g").sortWithinPartitions("run", "g", F.desc("score"), "item")
-    return bucketed.mapInArrow(_merge_bucket(n), "g string, item string, score bigint, rank_no int")
+def top_n(df: DataFrame, group: Column, score: Column, item: Column, n: int, tasks: int | None = None, fan_in: int = 64) -> DataFrame:
+    """(g, item, score, rank_no): rank 1 to n of every group. tasks: how many form runs (default: as many as a shuffle has)."""
+    rows = df.select(group.cast("string").alias("g"), score.alias("score"), item.cast("string").alias("item")).where("g is not null and score is not null and item is not null")
+    kind = rows.schema["score"].dataType
+    if kind.typeName() in ("float", "double"):
+        rows = rows.where(~F.isnan("score"))
+    name, arrow = kind.simpleString(), to_arrow_type(kind)
+    best = ["g", "block", "run", F.desc("score"), "item"]
+    head = rows.sortWithinPartitions("g", F.desc("score"), "item").mapInArrow(_first_of_group(n), f"g string, score {name}, item string")
+    runs = head.withColumn("run", F.spark_partition_id().cast("bigint"))
+    left = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    merge = lambda x: x.sortWithinPartitions(*best).mapInArrow(_merge_stream(n, arrow), f"g string, score {name}, item string, block bigint, rank_no int")
+    while left > fan_in:
+        left = -(-left // fan_in)
+        runs = merge(runs.withColumn("block", F.floor(F.col("run") / fan_in)).repartition("g", "block")).select("g", "score", "item", F.col("block").alias("run"))
+    return merge(runs.withColumn("block", F.lit(0).cast("bigint")).repartition("g")).select("g", "item", "score", "rank_no")
 
 
 def latest(df: DataFrame, key: str, at: str, value: str) -> DataFrame:

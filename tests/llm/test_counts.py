@@ -129,3 +129,31 @@ def test_head_of_run_across_batches(spark):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert [r.score for r in sorted(got, key=lambda r: r.rank_no)] == list(range(29999, 29749, -1))
+
+
+@pytest.mark.parametrize("tasks,fan_in", [(1, 64), (40, 3), (9, 2)])
+def test_merge_rounds(spark, tasks, fan_in):
+    """Rounds of few runs give the ranks of one merge; fractions rank by value, NaN and nulls not at all."""
+    rnd = random.Random(tasks)
+    rows = [(rnd.choice(["hot"] * 6 + list("abcdefgh")), rnd.choice([1.2, 1.9, -3.5, 7.0, float("nan"), None]), f"i{rnd.randrange(60):02}") for _ in range(2000)]
+    df = spark.createDataFrame(rows, "g string, score double, item string").repartition(tasks)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        got = sorted((r.g, r.rank_no, r.score, r["item"]) for r in topn.top_n(df, F.col("g"), F.col("score"), F.col("item"), 4, tasks, fan_in).collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = []
+    for g in {r[0] for r in rows}:
+        own = sorted((-s, i) for h, s, i in rows if h == g and s is not None and s == s)[:4]
+        want += [(g, k + 1, -s, i) for k, (s, i) in enumerate(own)]
+    assert got == sorted(want)
+
+
+def test_groups_at_the_edge(spark):
+    """Half of the rows distinct, one more, one less: registers can't tell, the exact count does."""
+    rows = []
+    for k, n in enumerate((499, 500, 501)):
+        rows += [(f"u{i % n}", "2024-01-01T00:00:00Z", k, None) for i in range(1000)]
+    df = spark.createDataFrame(rows, "uri string, crawl_date string, segment_no int, server string")
+    got = {(r.segment_no, r.server) for r in loglog.repetitive_groups(df).collect()}
+    assert got == {(0, "*"), (-1, "*")}

@@ -36,6 +36,13 @@ def test_cuts_are_safe(text, size):
     assert [i for p in parts for i in enc.encode_ordinary(p)] == enc.encode_ordinary(text)
 
 
+def test_texts_without_spaces_are_cut():
+    text = "日本語の文章です。それで、２３" * 15000
+    parts = list(encode.pieces(text))
+    assert len(parts) > 10 and max(map(len, parts)) < 2 * encode.PIECE
+    assert encode.encode_text(text) == encode.encoding().encode_ordinary(text)
+
+
 def test_encode_table(spark):
     rows = [(1, None, 1), (2, "", 2), (3, "hello world", 3), (3, "hello world", 3), (4, "w " * 20000, 4)]
     got = [(r.doc_id, list(r.ids)) for r in encode.encode(spark.createDataFrame(rows, "doc_id long, text string, ids int")).collect()]
