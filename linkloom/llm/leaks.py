@@ -1,18 +1,26 @@
 """Held-out test passages inside training documents.
 
 The test items are a stated query set: their sentences are indexed with BM25
-impacts in posting blocks that know their greatest impact, and every training
-passage (overlapping windows of its whole text) is run against the index with
-block-max WAND, which returns all sentences above a threshold and skips the
-rest. Impacts are divided by the sentence's score against itself, so the
-threshold is a share. Windows that share only common words with all items end at
-the first bound. Candidates are then verified on the text: a sentence counts if
-a stretch of the document holds most of its weight and most of its rare words (or
-nearly all its weight and one of them), letting single letters differ; a document leaks an item if two neighbouring
-sentences of the item count.
-
-Scale: one narrow pass over the documents; nothing is shuffled but the result.
-Items go in blocks of `BLOCK` rows, so the index a worker holds is bounded.
+impacts in posting blocks that know their greatest impact. A training text is first
+screened: to hold a sentence it must hold one of its signature words (the rarest ones
+that make up more weight than may be missing), and two neighbouring sentences must be
+possible. Its passages (overlapping windows of its whole text) are then run against
+the index with block-max WAND, which returns all sentences above a threshold and
+skips the rest, and candidates are verified on the text: a sentence counts if a
+stretch of the document holds most of its weight and most of its rare words (or
+nearly all its weight and one of them), letting single letters differ; a document
+leaks an item if two neighbouring sentences of the item count. How much of the
+item's question and answer the document holds too is reported with each case.
+
+Nothing that verification would accept is lost before it: impacts are divided by the
+least score that an accepted stretch can have, so that 1 is the threshold, and a
+window is wide enough to hold any accepted stretch whole.
+
+Scale: one narrow pass over the documents; nothing is shuffled but the result. Items
+go in blocks of `BLOCK` rows, so the index a worker holds is bounded and is built
+once per worker and block. With several blocks the one pass keeps the documents that
+hold signature words of any block (their number is bounded by the items' vocabulary),
+and the blocks run over those.
 
 Defined results
 * null, empty, blank text or passage: no leak
@@ -20,49 +28,62 @@ Defined results
 * items that share a passage: each is a case; repeated (doc, item) rows: one row
 * surface changes that are undone: case, markup, width, accents, invisible
   characters, look-alike letters, line breaks, punctuation, few missing, added or misspelt words
-* very long text: all of it, window by window; extra columns: ignored
+* null question or answer: share 0 of it; very long text and very long sentences:
+  all of it, window by window; extra columns: ignored
 """
 
 from __future__ import annotations
 
 import html
+import itertools
 import math
 import re
 import unicodedata
+import uuid
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..runtime import spread
+from ..runtime import cut, spread
 
-WINDOW, STRIDE, BLOCK, POSTING_BLOCK = 48, 24, 20_000, 32
-THRESHOLD, COVER, RARE_COVER, HIGH_COVER = 0.45, 0.6, 0.6, 0.74
+BLOCK, POSTING_BLOCK = 20_000, 32
+COVER, RARE_COVER, HIGH_COVER = 0.6, 0.6, 0.74
 K1, B = 1.2, 0.75
 
 # Cyrillic and Greek letters that look like Latin ones.
 LOOKALIKES = str.maketrans("аеорсухкмтнвіјѕԁһԛԝɡαεορτυνικ", "aeopcyxkmthbijsdhqwgaeoptuvik")
-_TAG, _WORD, _CUT = re.compile(r"<[^<>]{0,200}>"), re.compile(r"[^\W_]+"), re.compile(r"(?<=[.!?])\s+")
+_TAG, _WORD, _CUT = re.compile(r"</?[A-Za-z!][^<>]*>"), re.compile(r"[^\W_]+"), re.compile(r"(?<=[.!?])\s+|(?<=[。！？])")
+_UNSEEN = regex.compile(r"[\p{Cf}\p{Mn}]+")
 
 
 def words(text: str) -> list[str]:
     """Words of a text with surface changes undone."""
     text = html.unescape(_TAG.sub(" ", text)) if "<" in text or "&" in text else text
     if not text.isascii():
-        text = "".join(c for c in unicodedata.normalize("NFKD", text) if unicodedata.category(c) not in ("Cf", "Mn"))
-        out = []
-        for w in _WORD.findall(text.casefold()):
-            out.append(w if w.isascii() else w.translate(LOOKALIKES))
-        return out
+        text = _UNSEEN.sub("", unicodedata.normalize("NFKD", text))
+        return [w if w.isascii() else w.translate(LOOKALIKES) for w in _WORD.findall(text.casefold())]
     return _WORD.findall(text.lower())
 
 
+def span_of(n: int) -> int:
+    """Words that a stretch holding a sentence of n words may span."""
+    return 2 * n + 4
+
+
 def sentences(passage: str) -> list[str]:
     return [s for s in _CUT.split(passage.strip()) if s]
 
 
+def heads(w: str) -> set[str]:
+    """First two letters of the words that one changed letter or swap may have made w of."""
+    return {w[:2], w[1:3], w[1::-1], w[:1] + w[2:3]}
+
+
 class Postings:
     __slots__ = ("units", "impacts", "most", "block_most", "block_last")
 
@@ -76,12 +97,14 @@ class Postings:
 
 
 class Index:
-    """BM25 index of test sentences; unit u is sentence pos[u] of item[u]."""
+    """BM25 index of test sentences; unit u is sentence pos[u] of item[u]. items: (key, passage, question, answer)."""
 
-    def __init__(self, items: Iterable[tuple[int, str | None]]):
+    def __init__(self, items: Iterable[tuple]):
         self.item, self.pos, self.words = [], [], []
         self.last: dict[int, int] = {}
-        for key, passage in items:
+        self.asked: dict[int, tuple[frozenset[str], frozenset[str]]] = {}
+        for key, passage, *asked in items:
+            self.asked[key] = tuple(frozenset(words(x or "")) for x in (*asked, None, None)[:2])
             ss = [w for s in sentences(passage or "") if (w := words(s))]
             for i, w in enumerate(ss):
                 self.item.append(key), self.pos.append(i), self.words.append(w)
@@ -97,16 +120,30 @@ class Index:
             tf = Counter(w)
             norm = K1 * (1 - B + B * len(w) / mean)
             raw = {t: self.idf[t] * c * (K1 + 1) / (c + norm) for t, c in tf.items()}
-            whole = sum(raw.values())
+            # the least score of words that make up COVER of the weight: those with least impact per weight first
+            left = COVER * sum(self.idf[t] for t in tf)
+            least = 0.0
+            for t in sorted(raw, key=lambda t: raw[t] / self.idf[t]):
+                least += raw[t] * min(1.0, left / self.idf[t])
+                if (left := left - self.idf[t]) <= 0:
+                    break
             for t, x in raw.items():
-                lists[t].append((u, x / whole))
+                lists[t].append((u, x / least * (1 + 1e-9)))
         self.postings = {t: Postings(p) for t, p in lists.items()}
+        self.window = 2 * span_of(max(map(len, self.words), default=1))
+        self.signed: dict[str, list[int]] = defaultdict(list)
+        for u, w in enumerate(self.words):
+            weight, have = sum(self.idf[t] for t in set(w)), 0.0
+            for t in sorted(set(w), key=lambda t: (df[t], t)):
+                self.signed[t].append(u)
+                if (have := have + self.idf[t]) > (1 - COVER) * weight * (1 + 1e-9):
+                    break
         self.by_head = defaultdict(list)
         for t in self.rare:
             self.by_head[t[:2]].append(t)
         self.known: dict[str, str] = {}
 
-    def search(self, terms: Iterable[str], threshold: float) -> list[int]:
+    def search(self, terms: Iterable[str], threshold: float = 1.0) -> list[int]:
         """All units whose normalised score reaches the threshold (block-max WAND)."""
         lists = [p for t in terms if (p := self.postings.get(t))]
         if sum(p.most for p in lists) < threshold:
@@ -160,14 +197,14 @@ class Index:
         if w not in self.known:
             if len(self.known) > 200_000:  # a cache, refilled when full
                 self.known.clear()
-            near = {t for head in {w[:2], w[1:3], w[1::-1], w[:1] + w[2:3]} for t in self.by_head.get(head, ()) if abs(len(t) - len(w)) < 2 and one_apart(t, w)}
+            near = {t for head in heads(w) for t in self.by_head.get(head, ()) if abs(len(t) - len(w)) < 2 and one_apart(t, w)}
             self.known[w] = near.pop() if len(near) == 1 else w
         return self.known[w]
 
     def counts(self, u: int, seq: list[str]) -> bool:
         """Whether some stretch of seq holds the sentence u."""
         unit = self.words[u]
-        span = 2 * len(unit) + 4
+        span = span_of(len(unit))
         need = set(unit)
         at = [i for i, w in enumerate(seq) if w in need]
         weight = sum(self.idf[t] for t in need)
@@ -192,26 +229,30 @@ class Index:
                 return True
         return False
 
-    def leaks(self, text: str | None) -> list[int]:
-        """Items of which the text holds two neighbouring sentences."""
+    def possible(self, ws: Iterable[str]) -> bool:
+        """Whether two neighbouring sentences of an item (or the only one) have a signature word each among ws."""
+        marked = {u for w in ws if w in self.signed for u in self.signed[w]}
+        return any(not self.last[self.item[u]] or (u + 1 in marked and self.pos[u + 1] == self.pos[u] + 1) for u in marked)
+
+    def leaks(self, text: str | None) -> list[tuple[int, int, float, float]]:
+        """(item, its sentences that count, share of the question's words, share of the answer's words) where the text holds two neighbouring sentences."""
         seq = words(text) if text else []
-        seq = [self.mended(w) for w in seq]
-        found: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
-        for lo in range(0, max(1, len(seq) - WINDOW + STRIDE), STRIDE):
-            for u in self.search(set(seq[lo : lo + WINDOW]), THRESHOLD):
-                found[self.item[u]][self.pos[u]].add(u)
-        out = []
-        for item, by_pos in found.items():
-            sure: dict[int, bool] = {}
-            for i in sorted(by_pos):
-                pair = [i, i + 1] if self.last[item] > 0 else [i]
-                if all(j in by_pos for j in pair):
-                    for j in pair:
-                        if j not in sure:
-                            sure[j] = any(self.counts(u, seq) for u in by_pos[j])
-                    if all(sure[j] for j in pair):
-                        out.append(item)
-                        break
+        mended = {w: m for w in set(seq) if (m := self.mended(w)) is not w}
+        if not self.possible({mended.get(w, w) for w in set(seq)}):
+            return []
+        if mended:
+            seq = [mended.get(w, w) for w in seq]
+        found: dict[int, set[int]] = defaultdict(set)
+        step = self.window // 2
+        for lo in range(0, max(1, len(seq) - step), step):
+            for u in self.search(set(seq[lo : lo + self.window])):
+                found[self.item[u]].add(u)
+        out, held = [], set(seq)
+        for item, units in found.items():
+            near = {u for u in units if not self.last[item] or u - 1 in units or u + 1 in units}
+            sure = {u for u in near if self.counts(u, seq)}
+            if any(not self.last[item] or u + 1 in sure for u in sure):
+                out.append((item, len(sure), *(len(x & held) / len(x) if x else 0.0 for x in self.asked[item])))
         return out
 
 
@@ -227,23 +268,77 @@ def one_apart(a: str, b: str) -> bool:
     return a[i + 1 :] == b[i:] if len(a) > len(b) else a[i:] == b[i + 1 :]
 
 
+_BUILT: dict[str, Index] = {}
+
+
+def _index(token: str, rows: list[tuple]) -> Index:
+    """The index of a block, built once per Python worker."""
+    if token not in _BUILT:
+        _BUILT.clear()
+        _BUILT[token] = Index(rows)
+    return _BUILT[token]
+
+
+class Screen:
+    """Texts that hold a signature word of any block, or a word one letter off."""
+
+    def __init__(self, signed: set[str]):
+        self.signed, self.by_head, self.known = signed, defaultdict(list), {}
+        for t in signed:
+            self.by_head[t[:2]].append(t)
+
+    def _near(self, w: str) -> bool:
+        if w not in self.known:
+            if len(self.known) > 200_000:  # a cache, refilled when full
+                self.known.clear()
+            self.known[w] = any(abs(len(t) - len(w)) < 2 and one_apart(t, w) for head in heads(w) for t in self.by_head.get(head, ()))
+        return self.known[w]
+
+    def passes(self, ws: set[str]) -> bool:
+        return not self.signed.isdisjoint(ws) or any(len(w) >= 5 and self._near(w) for w in ws)
+
+
+def _blocks(items: DataFrame) -> Iterator[list[tuple]]:
+    """Items in blocks of BLOCK rows; the driver holds one at a time."""
+    rows = items.select("item_id", "passage", *[F.col(c) if c in items.columns else F.lit(None).alias(c) for c in ("question", "answer")]).orderBy("item_id").toLocalIterator()
+    while block := [tuple(r) for r in itertools.islice(rows, BLOCK)]:
+        yield block
+
+
 def leaked(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, item_id), one row per case. items is the stated query set; it is read in blocks by item_id."""
+    """(key, item_id, n_sentences, question_share, answer_share), one row per case."""
     kind = documents.schema[key].dataType.simpleString()
-    rows = [(r.item_id, r.passage) for r in items.select("item_id", "passage").orderBy("item_id").toLocalIterator()]
     sc = documents.sparkSession.sparkContext
-    docs = spread(documents.select(key, text).where(f"{text} is not null"), key)
-    out = None
-    for lo in range(0, max(1, len(rows)), BLOCK):
-        held = sc.broadcast(rows[lo : lo + BLOCK])
+    docs = spread(documents.select(key, text).where(F.col(text).isNotNull()), key)
+
+    def searching(held):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = _index(*held.value)
+            for b in batches:
+                found = [(k, *case) for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for case in index.leaks(t)]
+                if found:
+                    kinds = (b.schema.field(0).type, pa.int64(), pa.int32(), pa.float64(), pa.float64())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), kinds)], [key, "item_id", "n_sentences", "question_share", "answer_share"])
+
+        return run
 
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            index = Index(held.value)
+    def screening(held):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            screen = Screen(held.value)
             for b in batches:
-                pairs = [(k, i) for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for i in index.leaks(t)]
-                if pairs:
-                    yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], b.schema.field(0).type), pa.array([p[1] for p in pairs], pa.int64())], [key, "item_id"])
+                yield b.filter(pa.array([screen.passes(set(words(t))) for t in b.column(1).to_pylist()], pa.bool_()))
 
-        one = docs.mapInArrow(run, f"`{key}` {kind}, item_id bigint")
+        return run
+
+    blocks, more = _blocks(items), None
+    first = next(blocks, [])
+    if len(first) == BLOCK:  # perhaps several blocks: the documents are read once, by the signature words of all
+        signed = {t for block in itertools.chain([first], blocks) for t in Index(block).signed}
+        docs = cut(docs.mapInArrow(screening(sc.broadcast(signed)), f"`{key}` {kind}, `{text}` string"))
+        blocks = _blocks(items)
+        first = next(blocks)
+    out = None
+    for block in itertools.chain([first], blocks):
+        one = docs.mapInArrow(searching(sc.broadcast((uuid.uuid4().hex, block))), f"`{key}` {kind}, item_id bigint, n_sentences int, question_share double, answer_share double")
         out = one if out is None else out.unionByName(one)
-    return out.distinct()
+    return out.groupBy(key, "item_id").agg(*[F.max(c).alias(c) for c in ("n_sentences", "question_share", "answer_share")])

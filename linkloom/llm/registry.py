@@ -61,6 +61,11 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_evidence(spark, d).select("doc_id", "item_id")
+
+
+def p9_evidence(spark: SparkSession, d: str) -> DataFrame:
+    """Each case with the number of its sentences held, and the shares of its question's and answer's words."""
     return leaks.leaked(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
 
@@ -80,6 +85,7 @@ QUERIES = {
     "p7_found": p7_found,
     "p8_ids": p8_ids,
     "p9_found": p9_found,
+    "p9_evidence": p9_evidence,
     "p10_found": p10_found,
 }
 

@@ -62,22 +62,26 @@ def index():
     return leaks.Index([(1, PASSAGES[0]), (2, PASSAGES[1]), (3, PASSAGES[2]), (4, PASSAGES[0]), (5, None), (6, ""), (7, "Only Marquandel knows the Brifentol.")])
 
 
+def found(index, text):
+    return [case[0] for case in index.leaks(text)]
+
+
 def test_leaks(index):
     s = leaks.sentences(PASSAGES[0])
     filler = "It does what it says. Love it! The seam held up quietly after 12 washes. " * 30
-    assert sorted(index.leaks(filler + PASSAGES[0] + filler)) == [1, 4]
-    assert sorted(index.leaks(f"x {s[1]} {s[2]} y")) == [1, 4]
-    assert index.leaks(f"x {s[0]} y {filler} {s[2]}") == []  # not neighbouring
-    assert index.leaks(s[1]) == [] and index.leaks("") == [] and index.leaks(None) == [] and index.leaks("  \n") == []
-    assert index.leaks("In 1888 the village of Unknown bought the sunken pier beside the river Other for 7 crowns. The ledger lists 1 looms, 2 ovens and one windowless kiln.") == []
-    assert index.leaks("only marquandel knows the brifentol") == [7]
+    assert sorted(found(index, filler + PASSAGES[0] + filler)) == [1, 4]
+    assert sorted(found(index, f"x {s[1]} {s[2]} y")) == [1, 4]
+    assert found(index, f"x {s[0]} y {filler} {s[2]}") == []  # not neighbouring
+    assert found(index, s[1]) == [] and found(index, "") == [] and found(index, None) == [] and found(index, "  \n") == []
+    assert found(index, "In 1888 the village of Unknown bought the sunken pier beside the river Other for 7 crowns. The ledger lists 1 looms, 2 ovens and one windowless kiln.") == []
+    assert found(index, "only marquandel knows the brifentol") == [7]
 
 
 def test_altered_leaks(index):
     p = leaks.sentences(PASSAGES[2])
     two = f"{p[0]} {p[1]}"
     for changed in (two.upper(), two.lower().replace(".", ""), two.replace("e", "е").replace("o", "о"), "​".join(two), f"<p>{p[0]}</p><p>{p[1]}</p>", two.replace("the ", ""), two.replace(" ", "\n"), two.replace("Fallin", "Fallinn").replace("Olmar", "Omlar"), two.replace(" of ", " really of ")):
-        assert index.leaks(changed) == [3], changed
+        assert found(index, changed) == [3], changed
 
 
 def test_wand_finds_all_above_threshold(index):
@@ -86,7 +90,7 @@ def test_wand_finds_all_above_threshold(index):
     words = sorted({w for u in index.words for w in u})
     for _ in range(300):
         q = set(rnd.sample(words, rnd.randint(1, 25)))
-        for t in (0.2, 0.5):
+        for t in (0.5, 1.0):
             full = []
             for u in range(len(index.words)):
                 score = sum(p.impacts[p.units.index(u)] for w in q if u in (p := index.postings[w]).units)
@@ -95,10 +99,48 @@ def test_wand_finds_all_above_threshold(index):
             assert set(full) <= set(index.search(q, t))
 
 
-def test_leaked_table(spark):
-    docs = spark.createDataFrame([(1, PASSAGES[0], 9), (1, PASSAGES[0], 9), (2, None, 9), (3, "", 9)], "doc_id long, text string, item_id int")
-    items = spark.createDataFrame([(1, PASSAGES[0]), (4, PASSAGES[0])], "item_id long, passage string")
-    assert sorted(map(tuple, leaks.leaked(docs, items).collect())) == [(1, 1), (1, 4)]
+def test_nothing_is_lost_before_verification(index):
+    """Sentences thinned, padded and repeated at random: all that verification accepts pass the screen and the search."""
+    rnd = random.Random(5)
+    long_one = " ".join(f"w{i % 70} of" for i in range(150)) + "."
+    index = leaks.Index([(1, PASSAGES[0]), (2, PASSAGES[1]), (3, PASSAGES[2]), (8, long_one), (9, "The ledger of the ledger of the guild lists the ledger. One kiln is one kiln.")])
+    accepted = 0
+    for _ in range(1500):
+        u = rnd.randrange(len(index.words))
+        keep = rnd.uniform(0.4, 1)
+        seq = [w for w in index.words[u] if rnd.random() < keep]
+        for _ in range(rnd.randrange(len(seq) + 3)):
+            seq.insert(rnd.randrange(len(seq) + 1), rnd.choice(["filler", "the", "of", "quite"]))
+        seq = ["x"] * rnd.randrange(200) + seq + ["y"] * rnd.randrange(200)
+        if index.counts(u, seq):
+            accepted += 1
+            step = index.window // 2
+            assert any(u in index.search(set(seq[lo : lo + index.window])) for lo in range(0, max(1, len(seq) - step), step))
+            assert any(u in index.signed[w] for w in set(seq) if w in index.signed)
+    assert accepted > 300
+
+
+def test_long_sentence_and_markup():
+    """A sentence of 150 words is found whole or with a fifth of its words missing; a tag of any length is no text."""
+    passage = " ".join(f"word{i}" for i in range(150))
+    index = leaks.Index([(1, passage)])
+    assert found(index, "a b c " * 200 + passage + " d e f" * 200) == [1]
+    assert found(index, " ".join(w for i, w in enumerate(passage.split()) if i % 5)) == [1]
+    assert found(index, f"<p class='{passage}'>short</p>") == [] and leaks.words("a <b and c> d 1<2 e") == ["a", "d", "1", "2", "e"]
+
+
+def test_question_and_answer_are_reported():
+    index = leaks.Index([(1, PASSAGES[0], "Which bell was sunken?", "Rinyor"), (2, PASSAGES[1], None, None)])
+    assert index.leaks(PASSAGES[0]) == [(1, 3, 0.5, 1.0)] and index.leaks(PASSAGES[1]) == [(2, 3, 0.0, 0.0)]
+
+
+@pytest.mark.parametrize("block", [20_000, 1, 2])
+def test_leaked_table(spark, monkeypatch, block):
+    """Any number of blocks gives the same cases."""
+    monkeypatch.setattr(leaks, "BLOCK", block)
+    docs = spark.createDataFrame([(1, PASSAGES[0], 9), (1, PASSAGES[0], 9), (2, None, 9), (3, "", 9), (5, PASSAGES[2].replace("Fallin", "Falin"), 9)], "doc_id long, text string, item_id int")
+    items = spark.createDataFrame([(1, PASSAGES[0]), (3, PASSAGES[2]), (4, PASSAGES[0])], "item_id long, passage string")
+    assert sorted((r.doc_id, r.item_id) for r in leaks.leaked(docs, items).collect()) == [(1, 1), (1, 4), (5, 3)]
     assert leaks.leaked(docs, items.where("false")).count() == 0
 
 
