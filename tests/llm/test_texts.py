@@ -178,14 +178,42 @@ def test_subjects(spark):
     tp = len(want & set(got))
     assert tp / len(got) > 0.95 and tp / len(want) > 0.95
     assert all(i < 9000 for i, _ in got)
+    bare = {(r.doc_id, r.subject_name) for r in subjects.assign(df.select("doc_id", "text"), subs, sam).collect()}
+    assert len(bare & want) / len(want) > 0.95  # neither source nor item
     assert subjects.assign(df.where("false"), subs, sam).count() == 0
 
 
 def test_two_sentences():
     p = np.array([[0.9, 0.5], [0.8, 0.5]])
     assert np.allclose(subjects.at_least_two(p), [0.72, 0.25])
-    v = np.array([[-1, 0, 3, 1]])
-    assert subjects.decode_votes(int(subjects.encode_votes(v, 10)[0]), 10) == (-1, 0, 3, 1)
+    word, how, section = np.array([0, 3, 9]), np.array([0, 5, 3]), np.array([3, 0, 2])
+    assert all((x == y).all() for x, y in zip(subjects.decode_votes(subjects.encode_votes(word, how, section, 10), 10), (word, how, section)))
+
+
+def test_chunks_by_hand():
+    """Features once per sentence; a document of very many sentences goes another way to the same result."""
+    docs = [subjects.tokens("One two one. Two one!"), subjects.tokens("")]
+    c = subjects.Chunk.of(docs)
+    one, two = subjects.word_id("one"), subjects.word_id("two")
+    assert c.n == 2 and c.n_docs == 2 and c.doc.tolist() == [0, 0]
+    assert sorted(c.s[c.f == one].tolist()) == [0, 1] and sorted(c.s[c.f == two].tolist()) == [0, 1] and len(c.f) == 7
+    rnd = np.random.default_rng(1)
+    f, s = rnd.integers(0, 50, 3000), rnd.integers(0, 40, 3000)
+    assert all((x == y).all() for x, y in zip(subjects._unique_pairs(f, s, 40), subjects._unique_pairs(f, s, 1 << 16)))
+
+
+def test_languages_from_samples():
+    samples = [(subjects.tokens(t), set(), g) for g, t in [("en", "the box is fine."), ("de", "der Kasten ist gut.")] * 6]
+    marks = subjects.language_marks(samples)
+    assert marks[2] == 2
+    c = subjects.Chunk.of([subjects.tokens("The cat. Quux."), subjects.tokens("Quux."), subjects.tokens("Der Hund.")])
+    assert subjects.languages(c, marks).tolist() == [1, 1, 2, 0]
+
+
+def test_dominated_sources(spark):
+    rows = [("a", [1, 1])] * 12 + [("b", [1, 2])] * 12 + [("c", [3])] * 2 + [(None, [1])] * 20
+    df = spark.createDataFrame(rows, "source string, classes array<int>")
+    assert [tuple(r) for r in subjects.dominated(df, "source").collect()] == [("a", 1), ("b", 1)]
 
 
 WORDS = "été forêt élève année niño señal año mañana Küche schöne größer Straße город книга новости погода школа журнал yağmur güneş çiçek değil".split()
