@@ -17,10 +17,13 @@ The model learns each text once per field and source, whatever its rows, and a
 text is scored without its own copies, so that a garbled text that is repeated
 often doesn't teach the model that it is normal.
 
-Scale: rows are reduced to distinct (field, source, text) with counts; the
-text model is four hashed tables of fixed size (13 MB), summed per task and
-merged by addition; Python scores distinct non-ASCII texts only; an EM round joins
-their gains with one row of shares per source and sums by source and chain. Long texts are scored whole.
+Scale: a body is parsed once per pass for its title and link texts. Rows with
+non-ASCII text are written once, narrow; all later steps work on those and on 128-bit
+hashes of texts. The text model is four hashed tables of fixed size (13 MB), summed
+per task and merged by addition; Python scores distinct non-ASCII texts only; an EM
+round joins hashes and gains with one row of shares per source and sums by source and
+chain. Long texts are scored whole, and gains are never cut off: posteriors are taken
+in logarithms.
 
 Defined results
 * null, empty and pure ASCII texts: not garbled
@@ -115,6 +118,18 @@ def _chars_of(name: str) -> list[str]:
     return table
 
 
+def garble(text: str, chain: tuple[tuple[str, str], ...]) -> str | None:
+    """The text as a chain garbles it; None where that loses something."""
+    out = text
+    for written, read in reversed(chain):
+        try:
+            raw = out.encode(written)
+            out = raw.decode(read) if read in MULTI else "".join(map(_chars_of(read).__getitem__, raw))
+        except (UnicodeEncodeError, UnicodeDecodeError):
+            return None
+    return out if undo(out, chain) == text else None
+
+
 def undo(word: str, chain: tuple[tuple[str, str], ...]) -> str | None:
     """Reverses a chain, last step first."""
     for written, read in chain:
@@ -237,12 +252,13 @@ class Scorer:
 
 
 def _model_of(distinct: DataFrame) -> TextModel:
-    """Sums of all texts by their weights; what reaches the driver is four tables of fixed size."""
+    """Sums of all rows of `text`; what reaches the driver is four tables of fixed size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = [np.zeros(n) for n in SIZES]
         for b in batches:
-            for t, more in zip(tables, count_text(b.column(0).to_pylist(), b.column(1).to_pylist())):
+            each = pa.Table.from_batches([b]).group_by("text").aggregate([("text", "count")])
+            for t, more in zip(tables, count_text(each["text"].to_pylist(), each["text_count"].to_pylist())):
                 t += more
         for kind, t in enumerate(tables):
             at = np.flatnonzero(t)
@@ -256,41 +272,55 @@ def _model_of(distinct: DataFrame) -> TextModel:
     return TextModel(tables)
 
 
-def garbled_texts(rows: DataFrame) -> DataFrame:
-    """(field_name, source, text, fixed, chain, p_none) of the garbled texts. rows: field_name, source, text."""
-    sc, who = rows.sparkSession.sparkContext, ["field_name", "source"]
-    per = cut(rows.where("text <> ''").select("field_name", F.coalesce("source", F.lit("")).alias("source"), "text").distinct())
-    texts = per.groupBy("text").agg(F.count("*").alias("n"))  # once per field and source
-    held = sc.broadcast(_model_of(texts).tables)
+_HASH = ["h1", "h2"]
 
-    def scoring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(TextModel(held.value))
-        for b in batches:
-            found = [(t, n, scorer.score(t, n)) for t, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
-            zs, gs = ([[x[i] for x in f] for _, _, f in found] for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.int64()), pa.array(zs, pa.list_(pa.int32())), pa.array(gs, pa.list_(pa.float32()))], ["text", "n", "zs", "gains"])
 
-    def repairing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _hashed(df: DataFrame) -> DataFrame:
+    """Adds the 128-bit hash that stands for a text."""
+    return df.withColumns({"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(1), "text")})
+
+
+def _logarithm(c):
+    return F.log(F.greatest(c, F.lit(1e-300)))
+
+
+def posteriors(odd: DataFrame, ascii_texts: DataFrame) -> tuple[DataFrame, DataFrame, object]:
+    """(h1, h2 of texts, field_name, source, n, chain, p_none of the garbled ones; distinct texts; the model).
+
+    odd: (field_name, source, text) of non-ASCII texts, written or cheap to read; ascii_texts: the others.
+    """
+    sc, who = odd.sparkSession.sparkContext, ["field_name", "source"]
+    per = cut(_hashed(odd.distinct()))
+    held = sc.broadcast(_model_of(per.select("text").unionByName(ascii_texts.where("text <> ''").distinct().select("text"))).tables)
+
+    def scoring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(TextModel(held.value))
         for b in batches:
-            t, n, z = (b.column(c).to_pylist() for c in ("text", "n", "chain"))
-            fixed = [scorer.score(*x)[0][2] if x[2] < len(CHAINS) else x[0] for x in zip(t, n, z)]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in (*who, "text")), pa.array(fixed, pa.string()), b.column("chain"), b.column("p_none")], [*who, "text", "fixed", "chain", "p_none"])
-
-    odd = "text rlike '[^\\\\x00-\\\\x7f]'"
-    cands = cut(texts.where(odd).mapInArrow(scoring, "text string, n long, zs array<int>, gains array<float>").where(F.expr("size(zs) > 0") | F.col("text").contains(LOST)))
-    sizes = cut(per.where(odd).groupBy(*who).agg(F.count("*").alias("size")))
+            found = [scorer.score(t, n) for t, n in zip(b.column("text").to_pylist(), b.column("n").to_pylist())]
+            zs, gs = ([[x[i] for x in f] for f in found] for i in (0, 1))
+            lost = [LOST in t for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("h1"), b.column("h2"), b.column("n"), pa.array(lost), pa.array(zs, pa.list_(pa.int32())), pa.array(gs, pa.list_(pa.float64()))], ["h1", "h2", "n", "lost", "zs", "gains"])
+
+    texts = per.groupBy(*_HASH).agg(F.max("text").alias("text"), F.count("*").alias("n"))  # once per field and source
+    cands = cut(texts.mapInArrow(scoring, "h1 bigint, h2 bigint, n bigint, lost boolean, zs array<int>, gains array<double>").where(F.expr("size(zs) > 0") | F.col("lost")))
+    sizes = cut(per.groupBy(*who).agg(F.count("*").alias("size")))
     n_all, chains = sizes.agg(F.sum("size")).first()[0] or 0, range(1, len(CHAINS))
     # a source's texts lie in one part, so that its sums leave it once; a large source is dealt out to several
-    deal = F.pmod(F.xxhash64("text"), F.ceil(F.col("size") * 64 / max(n_all, 1))).alias("deal")
-    cases = per.join(if_small(cands, 50_000), "text").join(if_small(sizes), who)
-    cases = cut(cases.select(*who, "text", "n", "zs", "gains", deal).repartition(*who, "deal").drop("deal"))
+    deal = F.pmod(F.col("h1"), F.ceil(F.col("size") * 64 / max(n_all, 1))).alias("deal")
+    cases = per.select(*who, *_HASH).join(if_small(cands), _HASH).join(if_small(sizes), who)
+    cases = cut(cases.select(*who, *_HASH, "n", "lost", "zs", "gains", deal).repartition(*who, "deal").drop("deal"))
     shares = sizes.select(*who, "size", F.array(*[F.lit(START / len(chains)) for _ in chains]).alias("share"))
-    # exp(gain) of a chain against 'none', under the source's shares; gains are cut off for safety only
-    odds = F.zip_with("zs", "gains", lambda z, g: F.exp(F.least(g, F.lit(200.0))) * F.element_at("share", z))
+    # logarithms of gain and share of each chain, and of the share of 'none', less the greatest of them
     add = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
-    none = F.greatest(1 - add("share"), F.lit(1e-12))
-    weighed = lambda: cases.join(if_small(shares), who).withColumn("odds", odds).withColumn("none", none).withColumn("all", F.col("none") + add("odds"))
+    logs = F.zip_with("zs", "gains", lambda z, g: g + _logarithm(F.element_at("share", z)))
+    none = _logarithm(1 - add("share"))
+
+    def weighed() -> DataFrame:
+        with_logs = cases.join(if_small(shares), who).withColumn("logs", logs).withColumn("none_log", none)
+        with_top = with_logs.withColumn("top", F.greatest(F.coalesce(F.array_max("logs"), F.col("none_log")), "none_log"))
+        odds = with_top.withColumn("odds", F.transform("logs", lambda x: F.exp(x - F.col("top")))).withColumn("none", F.exp(F.col("none_log") - F.col("top")))
+        return odds.withColumn("all", F.col("none") + add("odds"))
+
     for _ in range(ROUNDS):
         post = weighed().select(*who, F.explode(F.arrays_zip("zs", F.transform("odds", lambda x: x / F.col("all")).alias("p"))).alias("x"))
         mass = cut(post.groupBy(*who, F.col("x.zs").alias("z")).agg(F.sum("x.p").alias("m")))
@@ -303,30 +333,52 @@ def garbled_texts(rows: DataFrame) -> DataFrame:
         shares = nxt.drop("before")
         if (moved or 0.0) < STILL:
             break
-    lost = F.col("text").contains(LOST)
-    best = F.array_max(F.zip_with("odds", "zs", lambda o, z: F.struct(o.alias("o"), (-z).alias("z"))))
-    told = weighed().withColumn("p_none", F.col("none") / F.col("all")).where(lost | (F.col("p_none") < 0.5))
+    best = F.array_max(F.zip_with("logs", "zs", lambda o, z: F.struct(o.alias("o"), (-z).alias("z"))))
+    told = weighed().withColumn("p_none", F.col("none") / F.col("all")).where(F.col("lost") | (F.col("p_none") < 0.5))
     chain = F.when(F.col("p_none") < 0.5, -best["z"]).otherwise(len(CHAINS))  # the latter: read with losses, the bytes are gone
-    found = told.select(*who, "text", "n", chain.alias("chain"), F.when(lost, 0.0).otherwise(F.col("p_none")).alias("p_none"))
-    return found.mapInArrow(repairing, "field_name string, source string, text string, fixed string, chain int, p_none double")
+    found = cut(told.select(*who, *_HASH, "n", chain.alias("chain"), F.when(F.col("lost"), 0.0).otherwise(F.col("p_none")).alias("p_none")))
+    return found, texts.select(*_HASH, "text"), held
+
+
+def repaired(found: DataFrame, texts: DataFrame, held) -> DataFrame:
+    """found with the repaired text as `fixed`."""
+
+    def repairing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(TextModel(held.value))
+        for b in batches:
+            t, n, z = (b.column(c).to_pylist() for c in ("text", "n", "chain"))
+            fixed = [scorer.score(*x)[0][2] if x[2] < len(CHAINS) else x[0] for x in zip(t, n, z)]
+            yield pa.RecordBatch.from_arrays([b.column("h1"), b.column("h2"), b.column("chain"), pa.array(fixed, pa.string())], ["h1", "h2", "chain", "fixed"])
+
+    each = found.select(*_HASH, "n", "chain").distinct()
+    fixed = texts.join(if_small(each), _HASH).select("text", *_HASH, "n", "chain").mapInArrow(repairing, "h1 bigint, h2 bigint, chain int, fixed string")
+    return found.join(fixed, [*_HASH, "chain"])
 
 
 def text_rows(links: DataFrame, records: DataFrame) -> DataFrame:
-    """(field_name, row_id, list_pos, source, text) of anchor texts, titles and link texts."""
+    """(field_name, row_id, list_pos, source, text) of anchor texts, titles and link texts; each body is parsed once."""
     anchors = links.select(F.lit("anchor_text").alias("field_name"), F.col("link_id").alias("row_id"), F.lit(-1).alias("list_pos"), F.col("src_domain").alias("source"), F.col("anchor_text").alias("text"))
     host = F.regexp_extract(F.col("target_uri"), r"^[A-Za-z]+://([^/:?#]+)", 1)
-    docs = records.select("record_no", F.lower(host).alias("source"), variants.parsed(F.col("body")).alias("doc")).where("doc is not null")
-    titles = docs.select(F.lit("title").alias("field_name"), F.col("record_no").alias("row_id"), F.lit(-1).alias("list_pos"), "source", variants.text_at(F.col("doc"), *variants.HTML, "Head", "Title").alias("text"))
+    docs = variants.readable(records).select("record_no", F.lower(host).alias("source"), variants.parsed(F.col("body")).alias("doc")).where("doc is not null")
+    one = lambda name, pos, text: F.struct(F.lit(name).alias("field_name"), pos.alias("list_pos"), text.alias("text"))
     x = variants.get(F.col("doc"), *variants.LISTS["Links"])
     kind = F.schema_of_variant(x)
     items = F.when(kind.startswith("ARRAY"), variants.get(F.col("doc"), *variants.LISTS["Links"], kind="array<variant>")).when(kind.startswith("OBJECT"), F.array(x))
-    listed = docs.select("record_no", "source", F.posexplode(items).alias("list_pos", "item"))
-    texts = listed.select(F.lit("link_text").alias("field_name"), F.col("record_no").alias("row_id"), "list_pos", "source", variants.text_at(F.col("item"), "text").alias("text"))
-    return anchors.unionByName(titles).unionByName(texts).where("text is not null")
-
-
-def garbled_rows(rows: DataFrame) -> DataFrame:
-    """(field_name, row_id, list_pos, text, fixed, chain): every row whose text is garbled."""
-    found = cut(garbled_texts(rows.select("field_name", "source", "text")))
-    odd = rows.where(F.col("text").rlike("[^\\x00-\\x7f]")).withColumn("source", F.coalesce("source", F.lit("")))
-    return odd.join(if_small(found, 200_000), ["field_name", "source", "text"]).select("field_name", "row_id", "list_pos", "text", "fixed", "chain")
+    title = one("title", F.lit(-1), variants.text_at(F.col("doc"), *variants.HTML, "Head", "Title"))
+    texts = F.transform(F.coalesce(items, F.array().cast("array<variant>")), lambda item, i: one("link_text", i, variants.text_at(item, "text")))
+    listed = docs.select(F.col("record_no").alias("row_id"), "source", F.inline(F.concat(F.array(title), texts)))
+    return anchors.unionByName(listed).where("text is not null")
+
+
+def garbled_rows(rows: DataFrame, repair: bool = True) -> DataFrame:
+    """(field_name, row_id, list_pos, text, chain, and with repair fixed): every row whose text is garbled. rows: field_name, row_id, list_pos, source, text."""
+    rows = rows.select("field_name", "row_id", "list_pos", F.coalesce("source", F.lit("")).alias("source"), "text")
+    odd_text = F.col("text").rlike("[^\\x00-\\x7f]")
+    odd = cut(rows.where(odd_text))
+    who = ["field_name", "source", "text"]
+    found, texts, held = posteriors(odd.select(*who), rows.where(~odd_text).select(*who))
+    if repair:
+        found = cut(repaired(found, texts, held))
+    keys = ["field_name", "source", *_HASH]
+    got = _hashed(odd).join(if_small(found.select(*keys, "chain", *(["fixed"] if repair else [])), 200_000), keys)
+    return got.select("field_name", "row_id", "list_pos", "text", *(["fixed"] if repair else []), "chain")

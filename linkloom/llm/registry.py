@@ -28,7 +28,7 @@ def p2_estimates(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     rows = garbled.text_rows(table(spark, d, "links"), table(spark, d, "wat_records"))
-    return garbled.garbled_rows(rows).select("field_name", "row_id", "list_pos").distinct()
+    return garbled.garbled_rows(rows, repair=False).select("field_name", "row_id", "list_pos").distinct()
 
 
 def p3_repairs(spark: SparkSession, d: str) -> DataFrame:
