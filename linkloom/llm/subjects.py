@@ -40,6 +40,7 @@ Defined results
 from __future__ import annotations
 
 import html
+import itertools
 import math
 import re
 import unicodedata
@@ -61,7 +62,8 @@ LEAST, LIFT, Z, SEED_N, STARTS = 3, 3.0, 4, 2, 3
 MARK_RATE, MARK_LIFT, MARK_SAMPLES = 0.1, 5.0, 5
 DOMINANT, DOMINANT_DOCS = 0.5, 10
 CELLS = 1 << 22
-_TAG, _CUT, _WORD = re.compile(r"</?[A-Za-z!][^<>]*>"), re.compile(r"(?<=[.!?])[\"')\]*]*\s+|\n+|(?<=[。！？؟])"), re.compile(r"[^\W\d_]+")
+_TAG, _CUT, _WORD = re.compile(r"</?[A-Za-z!][^<>]*>"), re.compile(r"[.!?][\"')\]*]*\s+|\n+|[。！？؟]"), re.compile(r"[^\W\d_]+")
+_PLAIN = re.compile(r"[a-z]+")
 _UNSEEN = regex.compile(r"\p{Cf}+")
 _KNOWN: dict[str, int] = {}
 F48, F47 = (1 << 48) - 1, 1 << 47
@@ -73,8 +75,9 @@ def sentences(text: str | None) -> list[list[str]]:
         return []
     if "<" in text or "&" in text:
         text = html.unescape(_TAG.sub("\n", text))
-    if not text.isascii():
-        text = _UNSEEN.sub("", unicodedata.normalize("NFKC", text))
+    if text.isascii():
+        return [w for s in _CUT.split(text.lower()) if s and (w := _PLAIN.findall(s))]
+    text = _UNSEEN.sub("", unicodedata.normalize("NFKC", text))
     return [w for s in _CUT.split(text.casefold()) if s and (w := _WORD.findall(s))]
 
 
@@ -91,7 +94,11 @@ def word_id(word: str) -> int:
 def tokens(text: str | None) -> tuple[list[int], list[int]]:
     """(word hashes of all sentences, words per sentence)."""
     sents = sentences(text)
-    return [word_id(w) for s in sents for w in s], [len(s) for s in sents]
+    words = list(itertools.chain.from_iterable(sents))
+    ids = list(map(_KNOWN.get, words))
+    if None in ids:
+        ids = list(map(word_id, words))
+    return ids, list(map(len, sents))
 
 
 class Chunk:
@@ -121,7 +128,8 @@ class Chunk:
 def _unique_pairs(f: np.ndarray, s: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (feature, sentence), by feature."""
     if n < 1 << 16:
-        key = np.unique((f.astype(np.uint64) << np.uint64(16)) | s.astype(np.uint64))
+        key = np.sort((f.astype(np.uint64) << np.uint64(16)) | s.astype(np.uint64))
+        key = key[np.r_[True, key[1:] != key[:-1]][: len(key)]]
         return (key >> np.uint64(16)).astype(np.int64), (key & np.uint64(0xFFFF)).astype(np.int64)
     order = np.lexsort((s, f))
     f, s = f[order], s[order]
@@ -316,7 +324,9 @@ class Corpus:
             cells = np.zeros(CELLS, np.int32)
             for b in batches:
                 for _, _, c in chunks(b):
-                    cells += np.bincount(c.f % CELLS, minlength=CELLS).astype(np.int32)
+                    at = np.sort((c.f & (CELLS - 1)).astype(np.int32))
+                    begin = np.flatnonzero(np.r_[True, at[1:] != at[:-1]][: len(at)])
+                    cells[at[begin]] += np.diff(np.r_[begin, len(at)]).astype(np.int32)
             at = np.flatnonzero(cells)
             for lo in range(0, len(at), 1 << 20):
                 part = at[lo : lo + (1 << 20)]
@@ -335,7 +345,7 @@ class Corpus:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lex = held.value
             bits = None if frequent is None else np.unpackbits(frequent.value).astype(bool)
-            wanted = (lambda f: lex.find(f)[0]) if bits is None else (lambda f: bits[f % CELLS] | lex.find(f)[0])
+            wanted = (lambda f: lex.find(f)[0]) if bits is None else (lambda f: bits[f & (CELLS - 1)] | lex.find(f)[0])
             for b in batches:
                 for _, _, c in chunks(b):
                     f, starts, sums = count_chunk(c, lex, marks, classes, wanted)
