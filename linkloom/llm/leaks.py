@@ -3,8 +3,8 @@
 The test items are a stated query set: their sentences are indexed with BM25
 impacts in posting blocks that know their greatest impact. A training text is first
 screened: to hold a sentence it must hold one of its signature words (the rarest ones
-that make up more weight than may be missing), and two neighbouring sentences must be
-possible. Its passages (overlapping windows of its whole text) are then run against
+that make up more weight than may be missing) and enough of its weight, and two
+neighbouring sentences must be possible. Its passages (overlapping windows of its whole text) are then run against
 the index with block-max WAND, which returns all sentences above a threshold and
 skips the rest, and candidates are verified on the text: a sentence counts if a
 stretch of the document holds most of its weight and most of its rare words (or
@@ -44,6 +44,7 @@ from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -51,7 +52,7 @@ from pyspark.sql import functions as F
 
 from ..runtime import cut, spread
 
-BLOCK, POSTING_BLOCK = 20_000, 32
+BLOCK, POSTING_BLOCK = 20_000, 8
 COVER, RARE_COVER, HIGH_COVER = 0.6, 0.6, 0.74
 K1, B = 1.2, 0.75
 
@@ -85,15 +86,20 @@ def heads(w: str) -> set[str]:
 
 
 class Postings:
-    __slots__ = ("units", "impacts", "most", "block_most", "block_last")
+    """Units of a term with its impacts, cut into blocks of POSTING_BLOCK unit numbers that know their greatest impact."""
+
+    __slots__ = ("units", "impacts", "most", "blocks", "block_most", "within")
 
     def __init__(self, pairs: list[tuple[int, float]]):
         pairs.sort()
         self.units, self.impacts = [u for u, _ in pairs], [x for _, x in pairs]
         self.most = max(self.impacts)
-        at = range(0, len(pairs), POSTING_BLOCK)
-        self.block_most = [max(self.impacts[i : i + POSTING_BLOCK]) for i in at]
-        self.block_last = [self.units[min(i + POSTING_BLOCK, len(pairs)) - 1] for i in at]
+        blocks = [u // POSTING_BLOCK for u in self.units]
+        starts = [i for i, b in enumerate(blocks) if not i or b != blocks[i - 1]]
+        ends = [*starts[1:], len(blocks)]
+        self.blocks = np.array([blocks[i] for i in starts])
+        self.block_most = np.array([max(self.impacts[i:j]) for i, j in zip(starts, ends)])
+        self.within = {blocks[i]: (i, j, m) for i, j, m in zip(starts, ends, self.block_most.tolist())}
 
 
 class Index:
@@ -130,10 +136,14 @@ class Index:
             for t, x in raw.items():
                 lists[t].append((u, x / least * (1 + 1e-9)))
         self.postings = {t: Postings(p) for t, p in lists.items()}
+        self.known_words = frozenset(self.postings)
         self.window = 2 * span_of(max(map(len, self.words), default=1))
         self.signed: dict[str, list[int]] = defaultdict(list)
+        self.weights, self.need = [], []
         for u, w in enumerate(self.words):
             weight, have = sum(self.idf[t] for t in set(w)), 0.0
+            self.weights.append([(t, self.idf[t]) for t in dict.fromkeys(w)])
+            self.need.append(COVER * weight * (1 - 1e-9))
             for t in sorted(set(w), key=lambda t: (df[t], t)):
                 self.signed[t].append(u)
                 if (have := have + self.idf[t]) > (1 - COVER) * weight * (1 + 1e-9):
@@ -144,50 +154,44 @@ class Index:
         self.known: dict[str, str] = {}
 
     def search(self, terms: Iterable[str], threshold: float = 1.0) -> list[int]:
-        """All units whose normalised score reaches the threshold (block-max WAND)."""
+        """All units whose normalised score reaches the threshold: WAND within the blocks whose greatest impacts together reach it."""
         lists = [p for t in terms if (p := self.postings.get(t))]
         if sum(p.most for p in lists) < threshold:
             return []
-        at, out = [0] * len(lists), []
+        upper = np.bincount(np.concatenate([p.blocks for p in lists]), np.concatenate([p.block_most for p in lists]))
+        out: list[int] = []
+        for block in np.flatnonzero(upper >= threshold).tolist():
+            out += self._wand([(p, *at) for p in lists if (at := p.within.get(block))], threshold)
+        return out
+
+    @staticmethod
+    def _wand(lists: list[tuple[Postings, int, int, float]], threshold: float) -> list[int]:
+        """One block: cursors in order of their unit; the pivot is the first unit that the bounds up to it can carry over the threshold."""
+        out, at = [], [lo for _, lo, _, _ in lists]
         live = list(range(len(lists)))
         while live:
-            live.sort(key=lambda i: lists[i].units[at[i]])
+            live.sort(key=lambda i: lists[i][0].units[at[i]])
             bound, k = 0.0, 0
             for k, i in enumerate(live):
-                bound += lists[i].most
+                bound += lists[i][3]
                 if bound >= threshold:
                     break
             else:
                 break
-            pivot = lists[live[k]].units[at[live[k]]]
-            while k + 1 < len(live) and lists[live[k + 1]].units[at[live[k + 1]]] == pivot:
+            pivot = lists[live[k]][0].units[at[live[k]]]
+            while k + 1 < len(live) and lists[live[k + 1]][0].units[at[live[k + 1]]] == pivot:
                 k += 1
-            upper, nearest = 0.0, math.inf
-            for i in live[: k + 1]:
-                p = lists[i]
-                b = bisect_left(p.block_last, pivot)
-                if b < len(p.block_last):
-                    upper += p.block_most[b]
-                    nearest = min(nearest, p.block_last[b])
-            if upper >= threshold:
-                if lists[live[0]].units[at[live[0]]] == pivot:
-                    score = 0.0
-                    for i in live[: k + 1]:
-                        score += lists[i].impacts[at[i]]
-                        at[i] += 1
-                    if score >= threshold:
-                        out.append(pivot)
-                else:
-                    for i in live[:k]:
-                        at[i] = bisect_left(lists[i].units, pivot, at[i])
-            else:  # no unit up to the end of the nearest block can reach the threshold
-                nxt = nearest + 1
-                if k + 1 < len(live):
-                    nxt = min(nxt, lists[live[k + 1]].units[at[live[k + 1]]])
-                nxt = max(nxt, pivot + 1)
+            if lists[live[0]][0].units[at[live[0]]] == pivot:
+                score = 0.0
+                for i in live[: k + 1]:
+                    score += lists[i][0].impacts[at[i]]
+                    at[i] += 1
+                if score >= threshold:
+                    out.append(pivot)
+            else:
                 for i in live[: k + 1]:
-                    at[i] = bisect_left(lists[i].units, nxt, at[i])
-            live = [i for i in live if at[i] < len(lists[i].units)]
+                    at[i] = bisect_left(lists[i][0].units, pivot, at[i], lists[i][2])
+            live = [i for i in live if at[i] < lists[i][2]]
         return out
 
     def mended(self, w: str) -> str:
@@ -229,16 +233,22 @@ class Index:
                 return True
         return False
 
-    def possible(self, ws: Iterable[str]) -> bool:
-        """Whether two neighbouring sentences of an item (or the only one) have a signature word each among ws."""
-        marked = {u for w in ws if w in self.signed for u in self.signed[w]}
-        return any(not self.last[self.item[u]] or (u + 1 in marked and self.pos[u + 1] == self.pos[u] + 1) for u in marked)
+    def possible(self, ws: set[str]) -> bool:
+        """Whether two neighbouring sentences of an item (or the only one) may be held by a text of the words ws: each has a signature word among them, and enough weight."""
+        enough: dict[int, bool] = {}
+        for u in {u for w in ws & self.signed.keys() for u in self.signed[w]}:
+            enough[u] = sum(x for t, x in self.weights[u] if t in ws) >= self.need[u]
+        return any(ok and (not self.last[self.item[u]] or (self.pos[u] < self.last[self.item[u]] and enough.get(u + 1, False))) for u, ok in enough.items())
 
     def leaks(self, text: str | None) -> list[tuple[int, int, float, float]]:
         """(item, its sentences that count, share of the question's words, share of the answer's words) where the text holds two neighbouring sentences."""
         seq = words(text) if text else []
-        mended = {w: m for w in set(seq) if (m := self.mended(w)) is not w}
-        if not self.possible({mended.get(w, w) for w in set(seq)}):
+        held = set(seq)
+        strange = held - self.known_words
+        mended = {w: m for w in strange if len(w) > 4 and (m := self.mended(w)) is not w}
+        held.difference_update(strange)
+        held.update(mended.values())
+        if not self.possible(held):
             return []
         if mended:
             seq = [mended.get(w, w) for w in seq]
@@ -247,7 +257,7 @@ class Index:
         for lo in range(0, max(1, len(seq) - step), step):
             for u in self.search(set(seq[lo : lo + self.window])):
                 found[self.item[u]].add(u)
-        out, held = [], set(seq)
+        out, held = [], set(seq)  # with words that no passage has, but perhaps a question
         for item, units in found.items():
             near = {u for u in units if not self.last[item] or u - 1 in units or u + 1 in units}
             sure = {u for u in near if self.counts(u, seq)}
