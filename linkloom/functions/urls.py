@@ -118,6 +118,13 @@ def json_escaped(json: Column) -> Column:
     return json
 
 
+def byte_escaped(text: Column) -> Column:
+    """Text for dumps: bytes outside 32 to 126, and the backslash, as \\xNN."""
+    pairs = F.filter(F.split(F.regexp_replace(F.hex(F.encode(text, "UTF-8")), "(..)", "$1 "), " "), lambda b: b != "")
+    code = lambda b: F.conv(b, 16, 10).cast("int")
+    return F.array_join(F.transform(pairs, lambda b: F.when(code(b).between(32, 126) & (code(b) != 92), F.char(code(b))).otherwise(F.concat(F.lit("\\x"), F.lower(b)))), "")
+
+
 @functools.lru_cache(maxsize=1)
 def _rules() -> tuple[tuple[str, str], ...]:
     jvm = SparkSession.active()._jvm

@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+import tempfile
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,8 +64,9 @@ def load(spark: SparkSession, store: IndexStore, pages: DataFrame, rate: int = 0
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="linkloom")
     sub = p.add_subparsers(dest="command", required=True)
-    for name in ("init", "load", "parse", "sample", "splits"):
-        c = sub.add_parser(name)
+    aliases = {"load": ["load-hdfs", "load-s3"], "parse": ["test-parser"], "serve": ["ui"]}
+    for name in ("init", "load", "parse", "sample", "splits", "dev"):
+        c = sub.add_parser(name, aliases=aliases.get(name, []))
         c.add_argument("data")
         c.add_argument("--format", choices=("archive", "jsonl"), default="archive")
         c.add_argument("--store", default="")
@@ -72,6 +74,7 @@ def main(argv: list[str] | None = None) -> int:
         c.add_argument("-n", type=int, default=1000)
         c.add_argument("--config", default="")
         c.add_argument("--rate", type=int, default=-1, help="pages a second; 0: no limit; default: the configuration's")
+        c.add_argument("--port", type=int, default=8080)
         c.add_argument("--exact", action="store_true", help="honour Content-Length, and end a page's links at an ill-typed one")
     c = sub.add_parser("getpaths")
     c.add_argument("file")
@@ -86,10 +89,11 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("question", choices=("top", "pages", "page", "in", "out"))
     c.add_argument("subject", nargs="?", default="")
     c.add_argument("--page", type=int, default=0)
-    c = sub.add_parser("serve")
+    c = sub.add_parser("serve", aliases=aliases["serve"])
     c.add_argument("store")
     c.add_argument("--port", type=int, default=8080)
     args = p.parse_args(argv)
+    args.command = next((name for name, more in aliases.items() if args.command in more), args.command)
     if args.command == "getpaths":
         with open(args.file) as f:
             print("\n".join(files.paths_range(f.read().split(), args.range)))
@@ -102,6 +106,9 @@ def main(argv: list[str] | None = None) -> int:
         for r in bad:
             print(r.path, r.done, file=sys.stderr)
         return int(bool(bad))
+    if args.command == "dev":  # pages of a JSON-lines sample, indexed into a new folder and served
+        args.format, args.store, args.command = "jsonl", args.store or tempfile.mkdtemp(prefix="linkloom-dev-"), "serve"
+        IndexStore(spark, args.store, buckets=2, ranges=2).bootstrap(_pages(spark, args), order=ORDER)
     if args.command == "init":
         _store(spark, args).bootstrap(_pages(spark, args), order=ORDER)
     elif args.command == "load":

@@ -22,6 +22,11 @@ def distinct_links(links: Column) -> Column:
     return F.transform(once, lambda x: F.struct(x["uri"].alias("uri"), x["url"].alias("url"), x["anchor_text"].alias("anchor_text")))
 
 
+def is_empty(url: Column, links: Column) -> Column:
+    """Whether a page says nothing: it has neither an address nor links."""
+    return url.isNull() & (F.coalesce(F.size(links), F.lit(0)) <= 0)
+
+
 def page_table(pages: DataFrame, keep_linkless: bool = False) -> DataFrame:
     """One row per page: of several captures the one with most links, then the latest.
 
@@ -137,3 +142,8 @@ def time_buckets(events: DataFrame, ts: str, value: str, by: list[str], width: s
     """Sum of a metric per tumbling window; works on batches and streams."""
     w = F.window(ts, width)
     return events.groupBy(w.alias("w"), *by).agg(F.sum(value).alias("total"), F.count("*").alias("n")).select(F.col("w.start").alias("bucket"), *by, "total", "n")
+
+
+def rates(events: DataFrame, ts: str, value: str, by: list[str], width: str = "5 minutes", seconds: int = 300) -> DataFrame:
+    """Mean of a metric per second in each window."""
+    return time_buckets(events, ts, value, by, width).select("bucket", *by, (F.col("total") / seconds).alias("per_second"))

@@ -264,6 +264,16 @@ def metric_buckets(spark, d):
     return out.select("bucket", "event_type", F.round("total", 2).alias("total"), "n")
 
 
+def metric_rates(spark, d):
+    out = index.rates(table(spark, d, "events"), "ts", "value", ["event_type"])
+    return out.select("bucket", "event_type", F.round("per_second", 4).alias("per_second"))
+
+
+def cell_dump(spark, d):
+    """In-link cells as a dump shows them: bytes that can't be printed are escaped."""
+    return index_cells(spark, d).where("cf = 'inlinks'").select("row", "cq", urls.byte_escaped(F.col("value")).alias("value"))
+
+
 def url_to_uri(spark, d):
     f = table(spark, d, "fetches").select("fetch_id", "url")
     return urls.keyed(f, "url").select("fetch_id", "uri")
@@ -320,7 +330,7 @@ QUERIES = {f.__name__: f for f in (
     pages, pages_with_linkless, edges, edges_cross_domain, uri_info, domain_count, top_pages, domain_rank_top25, domain_pages, domain_stats, paging_offset, paging_keyset, inlinks_of, outlinks_of, page_lookup, page_degrees,
     index_statistics, page_json, index_cells, index_cells_sorted, cell_changes, split_points, rev_encode, rev_encode_order, link_added, link_deleted, uri_delta, domain_delta, incremental_pages, incremental_uri_info, incremental_domain_count,
     streamed_uri_info, streamed_domain_count, streamed_pages, streamed_edges, streamed_cells, stream_meters,
-    update_meters, record_pages_exact, metric_buckets, url_to_uri, url_parse, url_roundtrip, url_of_key, url_reverse_host, url_domain, url_is_image, record_pages, parsed_pages, parsed_links, parsed_edges,
+    update_meters, record_pages_exact, metric_buckets, metric_rates, cell_dump, url_to_uri, url_parse, url_roundtrip, url_of_key, url_reverse_host, url_domain, url_is_image, record_pages, parsed_pages, parsed_links, parsed_edges,
 )}
 
 # --- SQL -----------------------------------------------------------------------------------------
@@ -463,6 +473,8 @@ ORACLES = {
 SELECT (SELECT count(*) FROM page_updates)::BIGINT AS updates_in, (SELECT count(*) FROM touched)::BIGINT AS pages_changed, (SELECT count(*) FROM added)::BIGINT AS links_new, (SELECT count(*) FROM deleted)::BIGINT AS links_deleted, (SELECT count(*) FROM delta)::BIGINT AS uris_changed,
 (SELECT count(*) FROM dn WHERE was = 0)::BIGINT AS domains_new, (SELECT count(*) FROM dn WHERE now = 0)::BIGINT AS domains_gone, (SELECT count(*) FROM dn WHERE was <> now)::BIGINT AS domains_changed""",
     "metric_buckets": "SELECT time_bucket(INTERVAL 30 SECOND, ts) AS bucket, event_type, round(sum(value), 2) AS total, count(*)::BIGINT AS n FROM events GROUP BY 1, 2",
+    "metric_rates": "SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS bucket, event_type, round(sum(value) / 300, 4) AS per_second FROM events GROUP BY 1, 2",
+    "cell_dump": _BASE + r"""SELECT 'p:' || dst AS row, src AS cq, coalesce(array_to_string(list_transform(regexp_extract_all(hex(encode(anchor)), '..'), lambda b: CASE WHEN ('0x' || b)::INTEGER BETWEEN 32 AND 126 AND b <> '5C' THEN chr(('0x' || b)::INTEGER) ELSE '\x' || lower(b) END), ''), '') AS value FROM e""",
     "url_to_uri": "SELECT fetch_id, uri FROM fetches",
     "url_parse": r"""WITH t AS (SELECT fetch_id, uri, regexp_replace(url, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g') AS x FROM fetches WHERE uri IS NOT NULL),
 a AS (SELECT fetch_id, split_part(uri, '>', 1) AS rev, lower(regexp_extract(x, '^[a-zA-Z]+://([^/?#]*)', 1)) AS authority, regexp_extract(x, '^[a-zA-Z]+://[^/?#]*(.*)$', 1) AS path, lower(x[1:6]) = 'https:' AS secure FROM t),

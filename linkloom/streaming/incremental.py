@@ -46,8 +46,8 @@ def ordered_by(df: DataFrame, order: list[str]) -> Column:
 
 def last_updates(updates: DataFrame, order: list[str], keep_linkless: bool = False) -> DataFrame:
     """One row per page: its last update that is not empty, with the page in table form; null links for a delete. at: its order value."""
-    some = F.col("page.url").isNotNull() | (F.size("page.outbound_links") > 0)
-    rows = updates.where(F.col("uri").isNotNull() & ((F.col("op") == "D") | (F.col("page").isNotNull() & some)))
+    some = F.col("page").isNotNull() & ~index.is_empty(F.col("page.url"), F.col("page.outbound_links"))
+    rows = updates.where(F.col("uri").isNotNull() & ((F.col("op") == "D") | some))
     rows = rows.withColumn("at", ordered_by(updates, order))
     one = rows.groupBy("uri").agg(F.max_by(F.struct("op", "page", "at"), "at").alias("b")).select("uri", "b.op", "b.page", "b.at")
     links = F.when(F.col("op") != "D", F.coalesce(index.distinct_links(F.col("page.outbound_links")), F.array()))
@@ -86,13 +86,15 @@ def link_changes(touched: DataFrame) -> DataFrame:
     return touched.select(F.col("uri").alias("src"), F.inline(F.concat(tag(F.array_except(new, old), "added"), tag(F.array_except(old, new), "deleted"))))
 
 
-def edge_changes(touched: DataFrame) -> DataFrame:
-    """(dst, src, anchor, gone): in-links to put or to remove; a new anchor replaces the old one."""
+def edge_changes(touched: DataFrame, strict: bool = False) -> DataFrame:
+    """(dst, src, anchor, gone): in-links to put or to remove. A new anchor replaces the old one; strict: a link that stays keeps its first anchor."""
     plain = lambda c: F.transform(F.coalesce(c, F.array()), lambda x: F.struct(x["uri"].alias("dst"), F.coalesce(x["anchor_text"], F.lit("")).alias("anchor")))
     old, new = plain(F.col("old_links")), plain(F.col("links"))
     kept = F.transform(new, lambda x: x["dst"])
-    put = F.transform(F.array_except(new, old), lambda x: F.struct(x["dst"].alias("dst"), x["anchor"].alias("anchor"), F.lit(False).alias("gone")))
-    gone = F.transform(F.array_except(F.transform(old, lambda x: x["dst"]), kept), lambda u: F.struct(u.alias("dst"), F.lit("").alias("anchor"), F.lit(True).alias("gone")))
+    known = F.transform(old, lambda x: x["dst"])
+    fresh = F.filter(new, lambda x: ~F.array_contains(known, x["dst"])) if strict else F.array_except(new, old)
+    put = F.transform(fresh, lambda x: F.struct(x["dst"].alias("dst"), x["anchor"].alias("anchor"), F.lit(False).alias("gone")))
+    gone = F.transform(F.array_except(known, kept), lambda u: F.struct(u.alias("dst"), F.lit("").alias("anchor"), F.lit(True).alias("gone")))
     return touched.select(F.col("uri").alias("src"), F.inline(F.concat(put, gone))).select("dst", "src", "anchor", "gone")
 
 
@@ -122,12 +124,17 @@ def apply_updates(tables: dict[str, DataFrame], updates: DataFrame, order: list[
 
 
 class IndexStore:
-    """The stored index. buckets and ranges follow the table's size (some hundred MB each); keep: states that stay readable; cells: whether the query table is written too."""
+    """The stored index.
+
+    buckets and ranges follow the table's size (some hundred MB each); keep: states that stay readable; compact:
+    versions of a table before they are merged; cells: whether the query table is written too; strict: in-links
+    keep the anchor they came with until the link goes.
+    """
 
     KEYS = {"pages": "uri", "edges": "dst", "uri_info": "uri", "domain_count": "domain"}
 
-    def __init__(self, spark: SparkSession, folder: str, keep: int = 2, buckets: int = 16, ranges: int = 16, compact: int = 8, cells: bool = True):
-        self.spark, self.folder, self.compact, self.ranges, self.with_cells = spark, folder, max(2, compact), ranges, cells
+    def __init__(self, spark: SparkSession, folder: str, keep: int = 2, buckets: int = 16, ranges: int = 16, compact: int = 8, cells: bool = True, strict: bool = False):
+        self.spark, self.folder, self.compact, self.ranges, self.with_cells, self.strict = spark, folder, max(2, compact), ranges, cells, strict
         self.store = Store(spark, folder, buckets, keep)
         self.meters: dict[str, int] = {}
 
@@ -209,7 +216,8 @@ class IndexStore:
         newer = cut(last.join(old, "uri", "left").where(F.col("old_at").isNull() | (F.col("at") > F.col("old_at"))))
         self.store.write(newer.select("uri", "url", F.size("links").cast("bigint").alias("num_outbound"), "crawl_date", "server", "title", "links", "at", "gone"), "pages", version, "uri")
         touched = newer.where("not (gone and old_links is null)")
-        self.store.write(edge_changes(touched), "edges", version, "dst", skewed_by="src")
+        edges = edge_changes(touched, self.strict)
+        self.store.write(edges, "edges", version, "dst", skewed_by="src")
         d = cut(uri_deltas(touched))
         self.store.write(d, "uri_info", version, "uri")
         both = cut(d.withColumnsRenamed({"links_to": "dl", "docs": "dd"}).join(among(self.table("uri_info"), d, "uri"), "uri", "left"))
@@ -217,8 +225,8 @@ class IndexStore:
         self.store.write(steps.withColumnRenamed("delta", "pagecount"), "domain_count", version, "domain")
         domains = cut(steps.join(among(self.table("domain_count"), steps, "domain"), "domain", "left").withColumn("was", F.coalesce("pagecount", F.lit(0))))
         if self.with_cells:
-            self._export(index.mutations(touched, edge_changes(touched), both, domains), version)
-        self._measure(seen, touched, both, domains)
+            self._export(index.mutations(touched, edges, both, domains), version)
+        self._measure(seen, touched, edges, both, domains)
         tables = {name: [*versions, version] for name, versions in state["tables"].items()}
         nxt = {"batch": batch, "tables": tables}
         for name in tables:
@@ -247,15 +255,16 @@ class IndexStore:
                 self.store.write(rows.groupBy(key).agg(*[F.sum(s).alias(s) for s in sums]).where(" or ".join(f"{s} <> 0" for s in sums)), name, version, key)
         state["tables"][name] = [version]
 
-    def _measure(self, seen: Observation, touched: DataFrame, both: DataFrame, domains: DataFrame) -> None:
-        """Ten counters of the batch, from its own small tables: pages, links and domains that came in, are new, changed, or were exported."""
+    def _measure(self, seen: Observation, touched: DataFrame, edges: DataFrame, both: DataFrame, domains: DataFrame) -> None:
+        """Counters of the batch, from its own small tables: pages, links and domains that came in, are new, changed, or were exported."""
         links = lambda c: F.coalesce(F.sum(F.greatest(F.size(c), F.lit(0))), F.lit(0))
         uris = lambda c: F.transform(F.coalesce(F.col(c), F.array()), lambda x: x["uri"])
         less = lambda a, b: F.coalesce(F.sum(F.size(F.array_except(uris(a), uris(b)))), F.lit(0))
         p = touched.agg(F.count("*").alias("pages_changed"), F.count_if(~F.col("gone")).alias("pages_exported"), links("links").alias("links_in"), less("links", "old_links").alias("links_new"), less("old_links", "links").alias("links_deleted")).first()
         u = both.agg(F.count("*").alias("uris_changed")).first()
-        d = domains.agg(F.count_if(F.col("was") == 0).alias("domains_new"), F.count("*").alias("domains_changed"), F.count_if(F.col("was") + F.col("delta") == 0).alias("domains_gone")).first()
-        self.meters = {**seen.get, **p.asDict(), **u.asDict(), **d.asDict()}
+        e = edges.agg(F.count("*").alias("links_exported")).first()
+        d = domains.agg(F.count_if(F.col("was") == 0).alias("domains_new"), F.count("*").alias("domains_changed"), F.count("*").alias("domains_exported"), F.count_if(F.col("was") + F.col("delta") == 0).alias("domains_gone")).first()
+        self.meters = {**seen.get, **p.asDict(), **u.asDict(), **e.asDict(), **d.asDict()}
 
 
 def run_stream(updates: DataFrame, store: IndexStore, checkpoint: str, order: list[str], keep_linkless: bool = False, report: Callable[[int, dict], None] | None = None):

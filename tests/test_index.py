@@ -185,6 +185,17 @@ def test_empty_update_is_skipped(spark, tmp_path):
     assert rows(store.tables()["uri_info"], "uri", "links_to", "docs") == before
 
 
+def test_strict_store_keeps_anchors(spark, tmp_path):
+    """A link that stays keeps its first anchor in strict mode, gets the new one otherwise."""
+    for strict, want in ((False, "new"), (True, "c1")):
+        store = incremental.IndexStore(spark, str(tmp_path / f"s{strict}"), buckets=2, cells=False, strict=strict)
+        store.bootstrap(spark.createDataFrame(SET1, schema.PAGE))
+        up = (1, A1, "U", None, page(A1, [(C1, "new"), ("com.n>>o>/", "n")]))
+        store.apply(spark.createDataFrame([up], UPDATE), 1, ["update_id"])
+        assert {r.dst: r.anchor for r in store.table("edges").where(F.col("src") == A1).collect()} == {C1: want, "com.n>>o>/": "n"}
+        assert store.meters["links_exported"] == (3 if strict else 4)
+
+
 def test_failed_batch_leaves_the_state(spark, tmp_path, monkeypatch):
     store = incremental.IndexStore(spark, str(tmp_path / "s"), buckets=2, cells=False)
     store.bootstrap(spark.createDataFrame(SET1, schema.PAGE))

@@ -80,3 +80,8 @@ def test_rev_encode(spark, ns):
     rows = spark.createDataFrame([(n,) for n in [*ns, 0, 255, 256, 257, 65536]], "n long").select("n", urls.rev_encode(F.col("n")).alias("c")).distinct().collect()
     assert all(r.c == code(r.n) for r in rows)
     assert [r.n for r in sorted(rows, key=lambda r: r.c)] == sorted((r.n for r in rows), reverse=True)
+
+
+def test_byte_escaped(spark):
+    df = spark.createDataFrame([("a\\\té~",), ("",), (None,)], "x string")
+    assert [r.y for r in df.select(urls.byte_escaped(F.col("x")).alias("y")).collect()] == ["a\\x5c\\x09\\xc3\\xa9~", "", None]
