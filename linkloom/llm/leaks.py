@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 
 from ..runtime import cut, spread
 
-BLOCK, POSTING_BLOCK = 20_000, 8
+BLOCK, POSTING_BLOCK = 20_000, 2
 COVER, RARE_COVER, HIGH_COVER = 0.6, 0.6, 0.74
 K1, B = 1.2, 0.75
 
