@@ -20,9 +20,11 @@ often doesn't teach the model that it is normal.
 Scale: a body is parsed once per pass for its title and link texts. Rows with
 non-ASCII text are written once, narrow; all later steps work on those and on 128-bit
 hashes of texts. The text model is four hashed tables of fixed size (13 MB), summed
-per task and merged by addition; Python scores distinct non-ASCII texts only; an EM
-round joins hashes and gains with one row of shares per source and sums by source and
-chain. Long texts are scored whole, and gains are never cut off: posteriors are taken
+per task and merged by addition; Python scores distinct non-ASCII texts only. Gains are
+dealt to the tasks once, by source; an EM round moves no rows: a source's shares follow
+from its own gains and the sums of the rounds before (one row per chain, and for sources
+in several parts), so each task goes through these rounds again, adds one and returns
+its sums. Long texts are scored whole, and gains are never cut off: posteriors are taken
 in logarithms.
 
 Defined results
@@ -43,6 +45,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,6 +68,7 @@ LOST, LOST_COST = "�", 6.0
 UNI, BI, WORDS, DISCOUNT = 1 << 16, 1 << 20, 1 << 20, 3e-4
 SIZES = (UNI, BI, WORDS, WORDS)
 PRIOR, SPREAD, START, STILL, ROUNDS = 0.03, 20.0, 0.5, 0.005, 30  # EM ends when no share moves by STILL
+PART, LARGE = 30_000, 1000  # texts in a part; a source of more than these, and of more than this part of all, is dealt to several
 _LEAD = re.compile("([à-þăąćďđęĺŕřрстξο])(?=[^\x00-\x7f])")
 _SPLIT = re.compile("( +|[\t\r\n]+)")
 
@@ -280,16 +284,90 @@ def _hashed(df: DataFrame) -> DataFrame:
     return df.withColumns({"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(1), "text")})
 
 
-def _logarithm(c):
-    return F.log(F.greatest(c, F.lit(1e-300)))
+class Part:
+    """The cases of one task: the texts of its sources, and what they say of the chains."""
+
+    def __init__(self, batches: Iterator[pa.RecordBatch], large: dict[tuple[str, str], int]):
+        """large: the size over all tasks of the sources that are dealt to several."""
+        got = list(batches)
+        self.rows = pa.Table.from_batches(got).combine_chunks() if got else None
+        if not self.rows:
+            return
+        field, source = (self.rows[c].combine_chunks().dictionary_encode("encode") for c in ("field_name", "source"))
+        both = field.indices.to_numpy().astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()
+        each, of, size = np.unique(both, return_inverse=True, return_counts=True)
+        names = [(field.dictionary[int(x) // len(source.dictionary)].as_py(), source.dictionary[int(x) % len(source.dictionary)].as_py()) for x in each] if large else []
+        self.large = {i: w for i, w in enumerate(names) if w in large}
+        size[list(self.large)] = [large[w] for w in self.large.values()]
+        self.size, zs, gains = size.astype(float), self.rows["zs"].combine_chunks(), self.rows["gains"].combine_chunks()
+        self.n = pc.fill_null(pc.list_value_length(zs), 0).to_numpy(zero_copy_only=False)
+        self.told = np.flatnonzero(self.n)  # the others say nothing of the chains
+        self.z, self.gain, self.n = zs.flatten().to_numpy().astype(np.int64) - 1, gains.flatten().to_numpy(), self.n[self.told]
+        self.of, self.begin = of[self.told], np.cumsum(self.n) - self.n
+        self.cell = np.repeat(self.of, self.n) * _UNDOABLE + self.z
+
+    def weighed(self, share: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Logarithms of gain and share of each chain, its posterior, and the posterior of 'none'."""
+        if not len(self.told):
+            return (np.zeros(0),) * 3
+        logs = self.gain + _logarithm(share).ravel()[self.cell]
+        none = _logarithm(1 - share.sum(1))[self.of]
+        top = np.maximum(np.maximum.reduceat(logs, self.begin), none)
+        odds, none = np.exp(logs - np.repeat(top, self.n)), np.exp(none - top)
+        total = none + np.add.reduceat(odds, self.begin)
+        return logs, odds / np.repeat(total, self.n), none / total
+
+    def mass(self, share: np.ndarray) -> np.ndarray:
+        """Sums of the posteriors by source and chain."""
+        return np.bincount(self.cell, self.weighed(share)[1], len(self.size) * _UNDOABLE).reshape(-1, _UNDOABLE)
+
+    def shares(self, past: list[Round]) -> tuple[np.ndarray, float]:
+        """Each source's shares of the chains after these rounds, and how far the last one moved them."""
+        share, moved = np.full((len(self.size), _UNDOABLE), START / _UNDOABLE), 0.0
+        for base, sums in past:
+            mass = self.mass(share)
+            for i, who in self.large.items():
+                mass[i] = sums[who]
+            before, share = share, (mass + SPREAD * base) / (self.size[:, None] + SPREAD)
+            moved = float(np.abs(share - before).max())
+        return share, moved
+
+    def best(self, logs: np.ndarray) -> np.ndarray:
+        """The best chain of each case that has any, of equal ones the first."""
+        if not len(self.told):
+            return np.zeros(0, np.int64)
+        first = np.where(logs == np.repeat(np.maximum.reduceat(logs, self.begin), self.n), np.arange(len(logs)), len(logs))
+        return self.z[np.minimum.reduceat(first, self.begin)] + 1
+
+
+#: Of a finished round: the shares of the chains over all sources, and the sums of the sources that are dealt to several tasks.
+Round = tuple[np.ndarray, dict[tuple[str, str], np.ndarray]]
+_UNDOABLE = len(CHAINS) - 1
+
+
+def _logarithm(x: np.ndarray) -> np.ndarray:
+    return np.log(np.maximum(x, 1e-300))
+
+
+def _dealt(per: DataFrame, cands: DataFrame) -> tuple[DataFrame, dict[tuple[str, str], int], int]:
+    """(field_name, source, h1, h2, lost, zs, gains) with all texts of a source in one part; sizes of the large sources, which lie in several; rows."""
+    who, n_all = ["field_name", "source"], per.count()
+    limit = max(PART, n_all // LARGE)
+    sizes = per.groupBy(*who).agg(F.count("*").alias("size")).where(F.col("size") > limit).collect()  # at most LARGE
+    large = {(r.field_name, r.source): r.size for r in sizes}
+    deals = per.sparkSession.createDataFrame([(*w, -(-n // limit)) for w, n in large.items()], "field_name string, source string, deals bigint")
+    cases = per.select(*who, *_HASH).join(if_small(cands), _HASH, "left").join(F.broadcast(deals), who, "left")
+    cases = cases.withColumn("deal", F.pmod("h1", F.coalesce("deals", F.lit(1)))).select(*who, *_HASH, "lost", "zs", "gains", "deal")
+    parts = max(per.sparkSession.sparkContext.defaultParallelism, -(-n_all // PART))
+    return cut(cases.repartition(parts, *who, "deal").drop("deal")), large, n_all
 
 
 def posteriors(odd: DataFrame, ascii_texts: DataFrame) -> tuple[DataFrame, DataFrame, object]:
-    """(h1, h2 of texts, field_name, source, n, chain, p_none of the garbled ones; distinct texts; the model).
+    """(h1, h2 of texts, field_name, source, chain, p_none of the garbled ones; distinct texts with their weights n; the model).
 
     odd: (field_name, source, text) of non-ASCII texts, written or cheap to read; ascii_texts: the others.
     """
-    sc, who = odd.sparkSession.sparkContext, ["field_name", "source"]
+    sc = odd.sparkSession.sparkContext
     per = cut(_hashed(odd.distinct()))
     held = sc.broadcast(_model_of(per.select("text").unionByName(ascii_texts.where("text <> ''").distinct().select("text"))).tables)
 
@@ -299,45 +377,44 @@ def posteriors(odd: DataFrame, ascii_texts: DataFrame) -> tuple[DataFrame, DataF
             found = [scorer.score(t, n) for t, n in zip(b.column("text").to_pylist(), b.column("n").to_pylist())]
             zs, gs = ([[x[i] for x in f] for f in found] for i in (0, 1))
             lost = [LOST in t for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("h1"), b.column("h2"), b.column("n"), pa.array(lost), pa.array(zs, pa.list_(pa.int32())), pa.array(gs, pa.list_(pa.float64()))], ["h1", "h2", "n", "lost", "zs", "gains"])
+            yield pa.RecordBatch.from_arrays([b.column("h1"), b.column("h2"), pa.array(lost), pa.array(zs, pa.list_(pa.int8())), pa.array(gs, pa.list_(pa.float64()))], ["h1", "h2", "lost", "zs", "gains"])
 
     texts = per.groupBy(*_HASH).agg(F.max("text").alias("text"), F.count("*").alias("n"))  # once per field and source
-    cands = cut(texts.mapInArrow(scoring, "h1 bigint, h2 bigint, n bigint, lost boolean, zs array<int>, gains array<double>").where(F.expr("size(zs) > 0") | F.col("lost")))
-    sizes = cut(per.groupBy(*who).agg(F.count("*").alias("size")))
-    n_all, chains = sizes.agg(F.sum("size")).first()[0] or 0, range(1, len(CHAINS))
-    # a source's texts lie in one part, so that its sums leave it once; a large source is dealt out to several
-    deal = F.pmod(F.col("h1"), F.ceil(F.col("size") * 64 / max(n_all, 1))).alias("deal")
-    cases = per.select(*who, *_HASH).join(if_small(cands), _HASH).join(if_small(sizes), who)
-    cases = cut(cases.select(*who, *_HASH, "n", "lost", "zs", "gains", deal).repartition(*who, "deal").drop("deal"))
-    shares = sizes.select(*who, "size", F.array(*[F.lit(START / len(chains)) for _ in chains]).alias("share"))
-    # logarithms of gain and share of each chain, and of the share of 'none', less the greatest of them
-    add = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
-    logs = F.zip_with("zs", "gains", lambda z, g: g + _logarithm(F.element_at("share", z)))
-    none = _logarithm(1 - add("share"))
-
-    def weighed() -> DataFrame:
-        with_logs = cases.join(if_small(shares), who).withColumn("logs", logs).withColumn("none_log", none)
-        with_top = with_logs.withColumn("top", F.greatest(F.coalesce(F.array_max("logs"), F.col("none_log")), "none_log"))
-        odds = with_top.withColumn("odds", F.transform("logs", lambda x: F.exp(x - F.col("top")))).withColumn("none", F.exp(F.col("none_log") - F.col("top")))
-        return odds.withColumn("all", F.col("none") + add("odds"))
-
-    for _ in range(ROUNDS):
-        post = weighed().select(*who, F.explode(F.arrays_zip("zs", F.transform("odds", lambda x: x / F.col("all")).alias("p"))).alias("x"))
-        mass = cut(post.groupBy(*who, F.col("x.zs").alias("z")).agg(F.sum("x.p").alias("m")))
-        everywhere = {r.z: r.m for r in mass.groupBy("z").agg(F.sum("m").alias("m")).collect()}  # one row per chain
-        base = F.array(*[F.lit((everywhere.get(z, 0.0) + PRIOR) / (n_all + len(CHAINS))) for z in chains])
-        own = mass.groupBy(*who).agg(F.map_from_entries(F.collect_list(F.struct("z", "m"))).alias("own"))  # at most one entry per chain
-        share = F.transform(F.sequence(F.lit(1), F.lit(len(chains))), lambda z: (F.coalesce(F.try_element_at("own", z), F.lit(0.0)) + SPREAD * F.element_at(base, z)) / (F.col("size") + SPREAD))
-        nxt = cut(shares.withColumnRenamed("share", "before").join(own, who, "left").select(*who, "size", "before", share.alias("share")))
-        moved = nxt.agg(F.max(F.array_max(F.zip_with("before", "share", lambda a, b: F.abs(a - b))))).first()[0]
-        shares = nxt.drop("before")
-        if (moved or 0.0) < STILL:
+    cands = cut(texts.mapInArrow(scoring, "h1 bigint, h2 bigint, lost boolean, zs array<tinyint>, gains array<double>").where(F.expr("size(zs) > 0") | F.col("lost")))
+    cases, large, n_all = _dealt(per, cands)
+    past: list[Round] = []
+
+    def summing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = Part(batches, large)
+        if part.rows:
+            share, moved = part.shares(past)
+            mass = part.mass(share)
+            for who, m in [((None, None), mass.sum(0)), *((w, mass[i]) for i, w in part.large.items())]:
+                yield pa.RecordBatch.from_pydict({"field_name": pa.array([who[0]] * _UNDOABLE, pa.string()), "source": pa.array([who[1]] * _UNDOABLE, pa.string()), "z": pa.array(range(_UNDOABLE), pa.int32()), "m": m, "moved": [moved] * _UNDOABLE})
+
+    while True:
+        sums = cases.select("field_name", "source", "zs", "gains").mapInArrow(summing, "field_name string, source string, z int, m double, moved double")
+        sums = sums.groupBy("field_name", "source", "z").agg(F.sum("m").alias("m"), F.max("moved").alias("moved")).collect()  # one row per chain, and as many for each large source
+        if past and (len(past) == ROUNDS or max((r.moved for r in sums), default=0.0) < STILL):
             break
-    best = F.array_max(F.zip_with("logs", "zs", lambda o, z: F.struct(o.alias("o"), (-z).alias("z"))))
-    told = weighed().withColumn("p_none", F.col("none") / F.col("all")).where(F.col("lost") | (F.col("p_none") < 0.5))
-    chain = F.when(F.col("p_none") < 0.5, -best["z"]).otherwise(len(CHAINS))  # the latter: read with losses, the bytes are gone
-    found = cut(told.select(*who, *_HASH, "n", chain.alias("chain"), F.when(F.col("lost"), 0.0).otherwise(F.col("p_none")).alias("p_none")))
-    return found, texts.select(*_HASH, "text"), held
+        of = {w: np.zeros(_UNDOABLE) for w in [(None, None), *large]}
+        for r in sums:
+            of[r.field_name, r.source][r.z] = r.m
+        past.append(((of.pop((None, None)) + PRIOR) / (n_all + len(CHAINS)), of))
+
+    def telling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = Part(batches, large)
+        if part.rows:
+            logs, _, none = part.weighed(part.shares(past)[0])
+            lost, p_none, chain = pc.fill_null(part.rows["lost"], False).to_numpy(), np.ones(len(part.rows)), np.full(len(part.rows), len(CHAINS))
+            p_none[part.told], chain[part.told] = none, part.best(logs)
+            at = np.flatnonzero(lost | (p_none < 0.5))
+            chain[p_none >= 0.5] = len(CHAINS)  # read with losses, the bytes are gone
+            out = part.rows.select(["field_name", "source", *_HASH]).take(at)
+            yield from out.append_column("chain", pa.array(chain[at], pa.int32())).append_column("p_none", pa.array(np.where(lost, 0.0, p_none)[at])).to_batches()
+
+    found = cut(cases.mapInArrow(telling, "field_name string, source string, h1 bigint, h2 bigint, chain int, p_none double"))
+    return found, texts.select(*_HASH, "text", "n"), held
 
 
 def repaired(found: DataFrame, texts: DataFrame, held) -> DataFrame:
@@ -350,7 +427,7 @@ def repaired(found: DataFrame, texts: DataFrame, held) -> DataFrame:
             fixed = [scorer.score(*x)[0][2] if x[2] < len(CHAINS) else x[0] for x in zip(t, n, z)]
             yield pa.RecordBatch.from_arrays([b.column("h1"), b.column("h2"), b.column("chain"), pa.array(fixed, pa.string())], ["h1", "h2", "chain", "fixed"])
 
-    each = found.select(*_HASH, "n", "chain").distinct()
+    each = found.select(*_HASH, "chain").distinct()
     fixed = texts.join(if_small(each), _HASH).select("text", *_HASH, "n", "chain").mapInArrow(repairing, "h1 bigint, h2 bigint, chain int, fixed string")
     return found.join(fixed, [*_HASH, "chain"])
 

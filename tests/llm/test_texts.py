@@ -290,6 +290,50 @@ def test_long_text_is_repaired_whole(spark):
     assert {r.row_id: r.fixed for r in garbled.garbled_rows(df).collect()}[1_000_000] == long_one
 
 
+def rows_moved(spark):
+    """Rows that all stages so far have written for shuffles."""
+    sc = spark.sparkContext._jsc.sc()
+    sc.listenerBus().waitUntilEmpty()
+    stages = sc.statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), None)
+    return {(s := stages.apply(i)).stageId(): s.shuffleWriteRecords() for i in range(stages.size())}
+
+
+def garbled_sources():
+    """Texts of 300 sources, of which one is large and one garbled throughout."""
+    clean = [("f", i, -1, f"s{i % 300}" if i % 3 else "large", f"{t} {i}") for i, t in enumerate(texts(3000, 1))]
+    bad = [garbled.garble(f"{t} {i}", garbled.CHAINS[2]) for i, t in enumerate(texts(200, 2))]
+    return clean + [("f", 10_000 + i, -1, f"s{i % 7}" if i % 2 else "bad", t) for i, t in enumerate(bad) if t]
+
+
+def test_rounds_move_no_cases(spark, monkeypatch):
+    """Where nothing is small enough for a broadcast, a further round of EM shuffles sums only."""
+    df = spark.createDataFrame(garbled_sources(), "field_name string, row_id long, list_pos int, source string, text string").select("field_name", "source", "text")
+    odd = df.where(df.text.rlike("[^\\x00-\\x7f]")).localCheckpoint()
+    monkeypatch.setattr(garbled, "if_small", lambda x, *_: x)
+    monkeypatch.setattr(garbled, "STILL", 0.0)
+    before, took = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for rounds in (1, 4):
+            monkeypatch.setattr(garbled, "ROUNDS", rounds)
+            old = rows_moved(spark)
+            garbled.posteriors(odd, df.where("false"))
+            took.append(sum(n for k, n in rows_moved(spark).items() if k not in old))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert (took[1] - took[0]) / 3 < odd.count() / 4, took
+
+
+def test_sources_in_several_parts(spark, monkeypatch):
+    """Large sources dealt to several tasks give what they give in one."""
+    df = spark.createDataFrame(garbled_sources(), "field_name string, row_id long, list_pos int, source string, text string")
+    got = []
+    for part in (30_000, 40):
+        monkeypatch.setattr(garbled, "PART", part)
+        got.append(sorted(garbled.garbled_rows(df).collect()))
+    assert got[0] == got[1] and len(got[0]) > 150
+
+
 #: Words that each written encoding can hold.
 SCRIPTS = {
     "latin": WORDS[:13] + ["Zubehör", "garçon", "crème", "Übung", "Äpfel"], "turkish": ["yağmur", "güneş", "çiçek", "değil", "Şişli"], "central": ["žluťoučký", "kůň", "příliš", "łódź", "źródło", "święto"],
